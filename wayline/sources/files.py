@@ -52,6 +52,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) ->
     return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
 
 
+def ensure_raw_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An empty raw table with its fixed schema, written only when nothing is there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([], schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def load_incremental_files(spark: SparkSession, source: str, target: str, history: str,
                            schema: T.StructType, load_ts: dt.datetime) -> int:
     """Load every new or rewritten file below ``source`` into the raw table at ``target``.
@@ -121,6 +129,12 @@ def file_row_counts(df: DataFrame, source: str, licence: str) -> DataFrame:
         {"source": F.lit(source), "license": F.lit(licence)})
 
 
+def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Text files in the layout ``scan_staged_csv`` reads, one per task."""
+    (df.write.mode(mode).options(header="true", escape='"', compression="gzip", ignoreLeadingWhiteSpace="false",
+                                 ignoreTrailingWhiteSpace="false", emptyValue="").csv(path))
+
+
 def seed_read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A small lookup file with declared types."""
     return spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)

@@ -17,7 +17,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 VIEWS: dict[str, str] = {}
 
-VIEWS["raw_flights"] = """
+VIEWS["flight_rows"] = """
 select
   cast(cast(o.o_orderdate as date) + cast(l.l_linenumber * 3 as int) as string) as flight_date,
   case when l.l_linenumber % 2 = 0 then ' c' else 'C' end
@@ -59,7 +59,8 @@ select
   'flights/' || cast(l.l_partkey as string) || '-' || cast(l.l_suppkey as string) || '-'
     || cast(cast(l.l_extendedprice as decimal(14,2)) as string) || '-'
     || cast(cast(l.l_tax as decimal(4,2)) as string) || l.l_returnflag as _source_file,
-  cast(l.l_shipdate as date) as _loaded_at
+  cast(l.l_shipdate as date) as _loaded_at,
+  l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_returnflag, o.o_custkey, o.o_orderdate, o.o_orderstatus
 from {lineitem} l
 join {orders} o on o.o_orderkey = l.l_orderkey
 join {customer} c on c.c_custkey = o.o_custkey
@@ -67,6 +68,15 @@ join {nation} n on n.n_nationkey = c.c_nationkey
 join {region} r on r.r_regionkey = n.n_regionkey
 """
 
+VIEWS["raw_flights"] = """
+select flight_date, reporting_airline, flight_number, tail_number, origin, origin_city_name, origin_state, dest,
+  dest_city_name, dest_state, crs_dep_time, crs_arr_time, dep_delay, arr_delay, taxi_out, taxi_in,
+  crs_elapsed_time, actual_elapsed_time, air_time, distance, cancelled, cancellation_code, diverted, dep_del15,
+  arr_del15, carrier_delay, weather_delay, nas_delay, security_delay, late_aircraft_delay, _source_file,
+  _loaded_at
+from {flight_rows}
+"""
+
 VIEWS["raw_stay_bookings"] = """
 select
   cast(s.o_orderkey as string) as stay_booking_id, cast(s.o_custkey as string) as user_id,
@@ -106,25 +116,20 @@ from (
 
 VIEWS["raw_flight_bookings"] = """
 select
-  f.flight_number as flight_booking_id, cast(l.l_orderkey as string) as stay_booking_id,
-  cast(o.o_custkey as string) as user_id,
-  case when l.l_linenumber % 2 = 1 then 'outbound' else 'return' end as leg,
-  cast(cast(o.o_orderdate as date) - 20 as string) || ' 09:00:00' as booked_at,
-  f.flight_date, trim(f.reporting_airline) as airline_code, f.flight_number, trim(f.origin) as origin, f.dest,
-  f.crs_dep_time,
-  case when l.l_linenumber % 3 = 0 then 'business' else 'economy' end as cabin_class,
-  cast(1 + l.l_orderkey % 4 as string) as passengers,
-  cast(cast(l.l_quantity as decimal(12,2)) as string) as fare_per_passenger_usd,
-  cast(cast(l.l_quantity as decimal(10,2)) * cast(1 + l.l_orderkey % 4 as int) as string) as total_fare_usd,
-  case when l.l_returnflag = 'R' then 'cancelled_by_airline' when o.o_orderstatus = 'P' then 'cancelled_by_customer'
+  flight_number as flight_booking_id, cast(l_orderkey as string) as stay_booking_id,
+  cast(o_custkey as string) as user_id,
+  case when l_linenumber % 2 = 1 then 'outbound' else 'return' end as leg,
+  cast(cast(o_orderdate as date) - 20 as string) || ' 09:00:00' as booked_at,
+  flight_date, trim(reporting_airline) as airline_code, flight_number, trim(origin) as origin, dest,
+  crs_dep_time,
+  case when l_linenumber % 3 = 0 then 'business' else 'economy' end as cabin_class,
+  cast(1 + l_orderkey % 4 as string) as passengers,
+  cast(cast(l_quantity as decimal(12,2)) as string) as fare_per_passenger_usd,
+  cast(cast(l_quantity as decimal(10,2)) * cast(1 + l_orderkey % 4 as int) as string) as total_fare_usd,
+  case when l_returnflag = 'R' then 'cancelled_by_airline' when o_orderstatus = 'P' then 'cancelled_by_customer'
        else 'flown' end as booking_status,
-  f._source_file, f._loaded_at
-from {lineitem} l
-join {orders} o on o.o_orderkey = l.l_orderkey
-join {raw_flights} f on f.flight_number = cast(l.l_orderkey * 10 + l.l_linenumber as string)
-  and f._source_file = 'flights/' || cast(l.l_partkey as string) || '-' || cast(l.l_suppkey as string) || '-'
-    || cast(cast(l.l_extendedprice as decimal(14,2)) as string) || '-'
-    || cast(cast(l.l_tax as decimal(4,2)) as string) || l.l_returnflag
+  _source_file, _loaded_at
+from {flight_rows}
 """
 
 VIEWS["raw_users"] = """
