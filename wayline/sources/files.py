@@ -23,6 +23,13 @@ def scan_staged_csv(spark: SparkSession, path: str | Sequence[str], schema: T.St
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths)
 
 
+def spread_small_scan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores (one small file, one unsplittable
+    archive) before heavy per-row work; a scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def source_multi_glob(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str) -> DataFrame:
     """Explicit lists and globs read as one table."""
     return scan_staged_csv(spark, paths, schema)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wayline.operators import enrichment as job
 from wayline.operators import vectors
+from wayline.sources.files import spread_small_scan
 from wayline.workload.registry import query
 
 _HASH = "cast('0x' || substr(md5(cast({0} as varchar) || '||42'), 1, 15) as bigint)"
@@ -62,7 +63,7 @@ select review_id, 'en' as language,
   null::varchar as summary_en from h""")
 def _(t):
     reviews = t["documents"].select(F.col("doc_id").alias("review_id"), F.col("text").alias("comment_text"))
-    return job.enrich_classify(reviews, job.word_rule(_GOOD, _BAD, _TOPIC_WORDS, _LATE))
+    return job.enrich_classify(spread_small_scan(reviews, ["review_id"]), job.word_rule(_GOOD, _BAD, _TOPIC_WORDS, _LATE))
 
 
 @query("enrich_validate", """
@@ -122,7 +123,7 @@ select d.doc_id, 64 as dims, coalesce(filled, 0) as filled,
 from {documents} d left join agg using (doc_id)""")
 def _(t):
     reviews = t["documents"].select("doc_id", F.col("text").alias("comment_text"))
-    done = job.embed_batches(reviews, job.hashed_words(64))
+    done = job.embed_batches(spread_small_scan(reviews, ["doc_id"]), job.hashed_words(64))
     v = F.col("embedding")
     return done.select("doc_id", F.size(v).alias("dims"), F.size(F.filter(v, lambda x: x != 0)).cast("bigint").alias(
         "filled"), F.round(F.array_max(v).cast("double"), 4).alias("top"),

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayline.sources.files import spread_small_scan
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 
@@ -312,37 +314,43 @@ from {labels} l join {documents} d on d.doc_id = l.doc_id
 """
 
 
-def dependencies(sql: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
+# a view's driving table and the columns that spread it evenly
+SPREAD = {"flight_rows": ("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]),
+          "raw_stay_bookings": ("orders", ["o_orderkey"]), "raw_reviews": ("documents", ["doc_id"]),
+          "raw_calendar": ("events", ["event_id"]), "raw_listings": ("part", ["p_partkey"])}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or a view derived from given tables."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name == "enrichments":
-        rows = table(spark, sf_dir, "enrich_rows")
-        topics = F.filter(F.split("topics_text", ","), lambda x: x != "")
-        return rows.withColumn("topics", topics).drop("topics_text")
-    sql = VIEWS[name]
-    return spark.sql(sql, **{d: table(spark, sf_dir, d) for d in dependencies(sql)})
+def dependencies(sql: str) -> list[str]:
+    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
 
 class Inputs:
-    """Typed and modelled tables over one data folder, each built on first use and only then."""
+    """Given, derived and modelled tables over one data folder, each built on first use and only once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._built = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._model(name) if name in MODELS else table(self.spark, self.sf_dir, name)
+            self._built[name] = self._model(name) if name in MODELS else self._table(name)
         return self._built[name]
 
     def _model(self, name: str) -> DataFrame:
         fn, needs = MODELS[name]
         return fn(*[self[n] for n in needs])
 
+    def _table(self, name: str) -> DataFrame:
+        if name in TABLES:
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name == "enrichments":
+            topics = F.filter(F.split("topics_text", ","), lambda x: x != "")
+            return self["enrich_rows"].withColumn("topics", topics).drop("topics_text")
+        inputs = {d: self[d] for d in dependencies(VIEWS[name])}
+        if name in SPREAD:
+            driving, columns = SPREAD[name]
+            inputs[driving] = spread_small_scan(inputs[driving], columns)
+        return self.spark.sql(VIEWS[name], **inputs)
+
 
 def _models():
     import datetime as dt
