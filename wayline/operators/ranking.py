@@ -56,16 +56,48 @@ def window_named_count(df: DataFrame, group: Sequence[str], orders: Sequence[Col
     return rank_rows(df, group, orders, rank="rn", total="cnt")
 
 
+def _cumulated(df: DataFrame, group: Sequence[str], order: str, weight: str) -> DataFrame:
+    """Running sum of ``weight`` inside each group (``_upto``) and the group's sum (``_all``).
+
+    The same pieces as in ``rank_rows``: a running sum inside a piece, which is at most one sort task's
+    rows, plus the sum of the group's earlier pieces.
+    """
+    keys = list(group)
+    placed = df.orderBy(*[F.col(k).asc_nulls_last() for k in keys], F.col(order)).withColumn(
+        _BLOCK, F.spark_partition_id())
+    rows = cut_lineage(placed)
+    piece_keys = [f"_pk_{k}" for k in keys]
+    in_group = Window.partitionBy(*piece_keys) if keys else Window.partitionBy(F.lit(0))
+    pieces = rows.groupBy(F.col(_BLOCK).alias("_pb"), *[F.col(k).alias(p) for k, p in zip(keys, piece_keys)]).agg(
+        F.sum(weight).alias(_ROWS))
+    pieces = pieces.select(
+        "_pb", *piece_keys,
+        F.coalesce(F.sum(_ROWS).over(in_group.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias(_BEFORE),
+        F.sum(_ROWS).over(in_group).alias("_all"))
+    inside = Window.partitionBy(_BLOCK, *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    running = rows.withColumn("_inside", F.sum(weight).over(inside))
+    same = [F.col(k).eqNullSafe(F.col(p)) for k, p in zip(keys, piece_keys)]
+    joined = running.join(pieces, reduce(lambda x, y: x & y, same, F.col(_BLOCK) == F.col("_pb")))
+    return joined.select(*[F.col(c) for c in df.columns], (F.col(_BEFORE) + F.col("_inside")).alias("_upto"), "_all")
+
+
 def agg_median_quantile(df: DataFrame, keys: Sequence[str], value: str,
                         quantiles: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group; only the two neighbours of each cut are aggregated."""
-    known = df.select(*keys, value).filter(F.col(value).isNotNull())
-    ranked = rank_rows(known, keys, [F.col(value).asc()], rank="_rn", total="_n")
+    """Exact interpolated quantiles per group.
+
+    Equal values are counted together in the map tasks first; of the counted values only the two
+    neighbours of each cut take part in the last aggregate.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
+    running = _cumulated(counted, keys, value, "_w")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_w") < rank) & (rank <= F.col("_upto")), F.col(value)))
+
     outputs = []
     for name, q in quantiles.items():
-        at = F.lit(float(q)) * (F.col("_n") - 1)
-        low = F.max(F.when(F.col("_rn") == F.floor(at) + 1, F.col(value)))
-        high = F.max(F.when(F.col("_rn") == F.ceil(at) + 1, F.col(value)))
-        share = F.max(at - F.floor(at))
-        outputs.append((low + (high - low) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*outputs)
+        cut = F.lit(float(q)) * (F.col("_all") - 1)
+        low, high = at(F.floor(cut) + 1), at(F.ceil(cut) + 1)
+        outputs.append((low + (high - low) * F.max(cut - F.floor(cut))).alias(name))
+    return running.groupBy(*keys).agg(*outputs)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayline.plans import dims, facts, marts, staging
 from wayline.plans.quality import quality_report
-from wayline.sources.files import read_or_empty
+from wayline.sources.files import path_exists, read_or_empty
 from wayline.sources.schemas import ENRICHMENT_TYPES
 from wayline.sources.sinks import layer_path, merge_into_partitions, read_fact
 
@@ -30,9 +30,7 @@ def _publish(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
 
 
 def _existing_fact(spark: SparkSession, path: str) -> DataFrame | None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-    return read_fact(spark, path) if found else None
+    return read_fact(spark, path) if path_exists(spark, path) else None
 
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],

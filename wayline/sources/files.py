@@ -52,17 +52,31 @@ def load_reload_overwritten(files: DataFrame, history: DataFrame) -> DataFrame:
     return files.join(history, ["path", "length", "modificationTime"], "left_anti")
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A parquet table that may not have been written yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    if path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
 def ensure_raw_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An empty raw table with its fixed schema, written only when nothing is there yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
