@@ -25,11 +25,11 @@ def agg_safe_ratio(num: Column, den: Column, scale: int, inner: int = 6) -> Colu
     return F.when(known & (den == 0), F.lit(0).cast(f"decimal(38,{scale})")).otherwise(value)
 
 
-def agg_mean(c: Column, scale: int, inner: int = 6) -> Column:
-    """Mean as exact sum over count, so the result does not depend on row order."""
-    exact = c.cast("decimal(24,6)")
-    return F.round(F.round(F.try_divide(F.sum(exact).cast("decimal(32,6)"),
-                                        F.count(c).cast("decimal(18,0)")), inner), scale)
+def agg_mean(c: Column, scale: int, inner: int = 6, kind: str = "decimal(24,6)") -> Column:
+    """Mean as exact sum over count, so the result does not depend on row order. For integers
+    ``kind="bigint"`` keeps the running sum a machine number."""
+    total = F.sum(c.cast(kind)).cast("decimal(32,6)")
+    return F.round(F.round(F.try_divide(total, F.count(c).cast("decimal(18,0)")), inner), scale)
 
 
 def fn_greatest_least(c: Column, low, high) -> Column:

@@ -36,20 +36,35 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.full_like(matrix, np.nan), where=norms > 0)
 
 
-def _best(ids: np.ndarray, vectors: np.ndarray, qids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
+Best = tuple[np.ndarray, np.ndarray]     # ids and scores, one row per query, best first
+
+
+def _block_best(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int) -> Best:
     """Best k index rows of one block for each query, ties by id; scores are held for a slice of queries."""
     order = np.argsort(ids, kind="stable")
     ids, columns = ids[order], _unit(vectors[order]).T
     keep, parts = min(k, len(ids)), []
-    for start in range(0, len(qids), QUERY_SLICE):
+    for start in range(0, len(queries), QUERY_SLICE):
         scores = _unit(queries[start:start + QUERY_SLICE]) @ columns
         scores = np.where(np.isnan(scores), -np.inf, scores)
         top = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-        picked = np.take_along_axis(scores, top, axis=1)
-        parts.append(pd.DataFrame({"query_id": np.repeat(qids[start:start + QUERY_SLICE], keep),
-                                   "id": ids[top].ravel(),
-                                   "score": np.where(np.isinf(picked), np.nan, picked).ravel()}))
-    return pd.concat(parts)
+        parts.append((ids[top], np.take_along_axis(scores, top, axis=1)))
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _fold(left: Best | None, right: Best, k: int) -> Best:
+    """Best k of two blocks."""
+    if left is None:
+        return right
+    ids, scores = np.hstack([left[0], right[0]]), np.hstack([left[1], right[1]])
+    top = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(ids, top, axis=1), np.take_along_axis(scores, top, axis=1)
+
+
+def _rows(qids: np.ndarray, best: Best) -> pd.DataFrame:
+    ids, scores = best
+    return pd.DataFrame({"query_id": np.repeat(qids, ids.shape[1]), "id": ids.ravel(),
+                         "score": np.where(np.isinf(scores), np.nan, scores).ravel()})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -64,8 +79,8 @@ def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, cit
 
     A query set of checked size is sent to the tasks, which score their part of the index block by
     block. A larger one is cut into a grid of cells (index fragment x query fragment) of bounded size,
-    each scored on its own. In both cases a task emits k rows per query and block, and a grouped
-    first-k (pruned before its shuffle) gives the final answer.
+    each scored on its own. A task, or a cell, emits k rows per query, and a grouped first-k (pruned
+    before its shuffle) gives the final answer.
     """
     rows = filter_optional_param(index, "city", city).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).filter("v is not null")
@@ -80,10 +95,12 @@ def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, cit
         shared = index.sparkSession.sparkContext.broadcast((sent["qid"].to_numpy(), _matrix(sent["q"])))
 
         def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            qids, q = shared.value
+            (qids, q), best = shared.value, None
             for frame in frames:
                 if len(frame):
-                    yield _best(frame["id"].to_numpy(), _matrix(frame["v"]), qids, q, k)
+                    best = _fold(best, _block_best(frame["id"].to_numpy(), _matrix(frame["v"]), q, k), k)
+            if best is not None:
+                yield _rows(qids, best)
 
         partial = rows.mapInPandas(score, out)
     else:
@@ -98,7 +115,8 @@ def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, cit
             if left.empty or right.empty:
                 return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
                     {"query_id": "int64", "id": "int64"})
-            return _best(left["id"].to_numpy(), _matrix(left["v"]), right["qid"].to_numpy(), _matrix(right["q"]), k)
+            return _rows(right["qid"].to_numpy(), _block_best(left["id"].to_numpy(), _matrix(left["v"]),
+                                                              _matrix(right["q"]), k))
 
         partial = cells_i.groupBy("ci", "cq").cogroup(cells_q.groupBy("ci", "cq")).applyInPandas(cell, out)
     order = [F.col("score").desc_nulls_last(), F.col("id").asc()]

@@ -104,13 +104,13 @@ def dash_review_stats(enrichments: DataFrame) -> DataFrame:
     negative = F.when(F.col("sentiment") == "negative", 1).otherwise(0)
     return enrichments.agg(
         F.count(F.lit(1)).alias("reviews"), F.countDistinct("language").alias("languages"),
-        agg_mean(negative, 6).alias("negative_share"), agg_mean(F.col("sentiment_score"), 6).alias("avg_score"))
+        agg_mean(negative, 6, kind="bigint").alias("negative_share"), agg_mean(F.col("sentiment_score"), 6).alias("avg_score"))
 
 
 def dash_topics_critical(enrichments: DataFrame, least: int = MIN_TOPIC_REVIEWS) -> DataFrame:
     critical = F.when(F.col("sentiment").isin(CRITICAL), 1).otherwise(0)
     topics = lateral_flatten(enrichments.select("topics", "sentiment"), "topics", "topic").groupBy("topic").agg(
-        F.count(F.lit(1)).alias("reviews"), agg_mean(critical, 6).alias("critical_share"))
+        F.count(F.lit(1)).alias("reviews"), agg_mean(critical, 6, kind="bigint").alias("critical_share"))
     return topics.filter(F.col("reviews") >= least).orderBy("critical_share", "topic")
 
 

@@ -40,9 +40,9 @@ def mart_airline_performance(flights: DataFrame, airlines: DataFrame, airports:
         agg_safe_ratio(F.count_if(status == "on_time"), F.count_if(~c("is_cancelled") & ~c("is_diverted")),
                        4).alias("on_time_rate"),
         _share(c("is_cancelled")).alias("cancellation_rate"),
-        agg_mean(F.when(delay > 0, delay), 1).alias("avg_arrival_delay_when_late_min"),
-        agg_mean(c("dep_delay_min"), 1).alias("avg_departure_delay_min"),
-        agg_mean(c("taxi_out_min"), 1).alias("avg_taxi_out_min"),
+        agg_mean(F.when(delay > 0, delay), 1, kind="bigint").alias("avg_arrival_delay_when_late_min"),
+        agg_mean(c("dep_delay_min"), 1, kind="bigint").alias("avg_departure_delay_min"),
+        agg_mean(c("taxi_out_min"), 1, kind="bigint").alias("avg_taxi_out_min"),
         *[F.sum(m).alias(m) for m in causes],
         *[F.count_if(c("cancellation_reason") == r).alias(n) for n, r in reasons.items()])
     named = grouped.join(airlines.select("airline_code", "airline_name", "carrier_type"), "airline_code", "left")
@@ -64,8 +64,8 @@ def mart_city_revenue(stays: DataFrame, listings: DataFrame) -> DataFrame:
         F.count_if(lost).alias("cancelled_bookings"), _share(lost).alias("cancellation_rate"),
         F.countDistinct(F.when(kept, c("user_id"))).alias("unique_guests"),
         nights.alias("nights_sold"), _sum_if(kept, c("guests") * c("nights")).alias("guest_nights"),
-        agg_mean(F.when(kept, c("nights")), 2).alias("avg_length_of_stay"),
-        agg_mean(c("lead_time_days"), 1).alias("avg_lead_time_days"),
+        agg_mean(F.when(kept, c("nights")), 2, kind="bigint").alias("avg_length_of_stay"),
+        agg_mean(c("lead_time_days"), 1, kind="bigint").alias("avg_lead_time_days"),
         F.round(_sum_if(kept, c("total_amount_usd")), 2).alias("gross_booking_value_usd"),
         F.round(_sum_if(kept, c("service_fee_usd")), 2).alias("platform_revenue_usd"),
         F.round(_sum_if(lost, c("refund_amount_usd")), 2).alias("refunds_usd"),
@@ -82,7 +82,7 @@ def mart_forward_occupancy(calendar: DataFrame, listings: DataFrame) -> DataFram
         F.count(F.lit(1)).alias("listing_nights"), F.count_if(~c("is_available")).alias("unavailable_nights"),
         F.count_if("is_available").alias("available_nights"),
         _share(~c("is_available")).alias("occupancy_proxy"),
-        agg_mean(c("minimum_nights"), 1).alias("avg_minimum_nights"))
+        agg_mean(c("minimum_nights"), 1, kind="bigint").alias("avg_minimum_nights"))
 
 
 def mart_traveler_disruption(legs: DataFrame, flights: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -102,7 +102,7 @@ def mart_traveler_disruption(legs: DataFrame, flights: DataFrame, airlines: Data
         F.count_if(delay >= 180).alias("legs_arrived_3h_plus_late"),
         _sum_if(c("is_cancelled") | (delay >= 60), c("passengers")).alias("passengers_disrupted"),
         _share(c("is_cancelled") | c("is_diverted") | (delay >= 60)).alias("disruption_rate"),
-        agg_mean(F.when(delay > 0, delay), 1).alias("avg_delay_when_late_min"))
+        agg_mean(F.when(delay > 0, delay), 1, kind="bigint").alias("avg_delay_when_late_min"))
     return grouped.join(airlines.select("airline_code", "airline_name"), "airline_code", "left")
 
 
@@ -156,7 +156,7 @@ def mart_delay_impact(stays: DataFrame, legs: DataFrame, flights: DataFrame, enr
                                        "stay_booking_id", c("leg") == "outbound")
     flown = outbound.join(flights.select("flight_id", "is_cancelled", "is_diverted", "arr_delay_min"), "flight_id")
     return flown.groupBy(bands.otherwise("0_on_time").alias("delay_bucket")).agg(
-        F.count(F.lit(1)).alias("reviewed_stays"), agg_mean(c("arr_delay_min"), 1).alias("avg_arrival_delay_min"),
+        F.count(F.lit(1)).alias("reviewed_stays"), agg_mean(c("arr_delay_min"), 1, kind="bigint").alias("avg_arrival_delay_min"),
         agg_mean(c("sentiment_score"), 3).alias("avg_sentiment_score"),
         _share(c("sentiment") == "negative").alias("negative_share"),
         _share(c("mentions_travel_disruption")).alias("mentions_disruption_share")).orderBy("delay_bucket")

@@ -20,9 +20,6 @@ def build_session(app: str = "wayline", master: str | None = None, **extra: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
-        # wide text-typing projections outgrow the method size the JVM compiles (8000 bytes of bytecode);
-        # beyond it Spark then falls back to its split, compiled per-operator projections
-        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update(extra)
     for key, value in settings.items():
