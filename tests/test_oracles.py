@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from wayline.workload.registry import ORACLES, QUERIES
 from wayline.workload.views import TABLES
 
 SAMPLE = ["mart_airline_performance", "mart_city_revenue", "mart_user_cohorts", "stg_listings", "dim_airports",
@@ -38,7 +39,8 @@ def oracle(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql()) and len(spark_entry.queries()) >= 183
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) >= 183
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", SAMPLE)
