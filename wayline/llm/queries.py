@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayline.llm import chat, exact, mixing, warc
+from wayline.llm import chat, exact, language, mixing, passages, scoring, warc
 from wayline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,30 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op4_repeated_passages", r"""
+with listed as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+windows as (
+    select doc_id, t.pos, array_to_string(words[t.pos:t.pos + 34], ' ') as passage
+    from listed, unnest(generate_series(1, len(words) - 34)) as t(pos)),
+repeated as (select passage from windows group by passage having count(*) > 1),
+covered as (
+    select distinct doc_id, pos + k.i as place
+    from windows join repeated using (passage), range(35) as k(i)),
+placed as (
+    select doc_id, t.place, words[t.place] as word from listed, unnest(generate_series(1, len(words))) as t(place)),
+kept as (
+    select p.doc_id, count(c.place) as n_removed,
+        string_agg(p.word, ' ' order by p.place) filter (c.place is null) as kept_text
+    from placed p left join covered c on p.doc_id = c.doc_id and p.place = c.place group by p.doc_id)
+select l.doc_id, len(l.words)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed,
+    sha256(coalesce(k.kept_text, '')) as kept_sha256
+from listed l left join kept k on l.doc_id = k.doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.drop_repeated_passages(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op6_exact_dedup", r"""
 with hashed as (
     select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
@@ -75,6 +99,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = language.remainder(F.col("doc_id"), 7)
+    return scoring.score_texts(table(spark, sf_dir, "documents"), part != 2, part == 2)
+
+
 @query("op10_source_mix", r"""
 with recursive sized as (
     select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
