@@ -151,3 +151,17 @@ def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, limit: int = 8 << 20
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def join_counted(left: DataFrame, counted: DataFrame, key: str, n: str, share: int = 1000) -> DataFrame:
+    """Inner join of stored rows with one counted row per key, safe for hot keys.
+
+    Keys that hold more than 1 / ``share`` of the counted rows are fewer than ``share``: these are broadcast, so
+    their rows stay where they are. All other keys meet in an ordinary join. Both sides should be stored tables.
+    """
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    hot = counted.filter(F.col(n) * share > total)
+    rest = counted.filter(F.col(n) * share <= total)
+    many = left.join(F.broadcast(hot), key)
+    others = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key)
+    return many.unionByName(others)

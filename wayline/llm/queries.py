@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayline.llm import chat, exact, language, mixing, passages, scoring, warc
+from wayline.llm import chat, exact, language, leaks, lines, mixing, passages, scoring, warc
 from wayline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op3_benchmark_leaks")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
+
+
 @query("op4_repeated_passages", r"""
 with listed as (
     select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
@@ -88,6 +94,54 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op5_line_templates", r"""
+with based as (
+    select doc_id, coalesce(text, '') as body, string_split(coalesce(text, ''), chr(10)) as listed,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_words
+    from documents),
+lines as (
+    select doc_id, t.pos, list_transform(regexp_extract_all(listed[t.pos], '[^\x20\x09-\x0D]+'),
+        lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as tokens
+    from based, unnest(generate_series(1, len(listed))) as t(pos)),
+leafed as (
+    select *, len(tokens) as words, struct_pack(n := len(tokens), lead := tokens[1:3]) as leaf
+    from lines where len(tokens) >= 3),
+counted as (
+    select leaf, tokens, words, count(distinct doc_id) as docs from leafed group by leaf, tokens, words),
+open_leaves as (
+    select leaf from counted where words > 3 group by leaf
+    having sum(docs) >= 3 and count(*) > 1 and min(docs) < 3),
+texts as (select c.* from counted c where leaf in (select leaf from open_leaves)),
+laid as (
+    select leaf, tokens, docs, t.place, tokens[t.place] as token
+    from texts, unnest(generate_series(1, words)) as t(place)),
+constant as (select leaf, place, token from laid group by leaf, place, token having sum(docs) >= 3),
+fixed as (
+    select l.leaf, l.tokens, any_value(l.docs) as docs, count(*) filter (l.place > 3) as behind,
+        list(struct_pack(place := l.place, token := l.token) order by l.place) as template
+    from laid l join constant c on l.leaf = c.leaf and l.place = c.place and l.token = c.token
+    group by l.leaf, l.tokens),
+near as (select * from fixed where behind >= 0.7 * (len(tokens) - 3)),
+recurring as (select leaf, template from near group by leaf, template having sum(docs) >= 3),
+flagged as (
+    select tokens from counted where docs >= 3
+    union select n.tokens from near n join recurring r on n.leaf = r.leaf and n.template = r.template),
+gone as (select l.doc_id, l.pos, l.words from leafed l where l.tokens in (select tokens from flagged)),
+chosen as (
+    select b.doc_id, list(g.pos) as places
+    from based b join gone g on b.doc_id = g.doc_id
+    group by b.doc_id having sum(g.words) <= 0.3 * any_value(b.n_words))
+select b.doc_id, len(b.listed)::bigint as n_lines, coalesce(len(c.places), 0)::bigint as n_dropped,
+    sha256(case when c.places is null then b.body else array_to_string(
+        list_transform(list_filter(generate_series(1, len(b.listed)), lambda i: not list_contains(c.places, i)),
+            lambda i: b.listed[i]), chr(10)) end) as kept_sha256
+from based b left join chosen c on b.doc_id = c.doc_id""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op6_exact_dedup", r"""
 with hashed as (
     select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256
