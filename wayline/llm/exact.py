@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import WORD_GAP, arrow_batches, stored
+from wayline.llm.common import WORD_GAP, arrow_batches, join_counted, stored
 
 #: Bits of one filter segment; a hash sets all its bits inside the segment its first bytes name.
 SEGMENT_BITS = 1 << 18
@@ -115,7 +115,8 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     The rows are first reduced to (id, hash, row number) and stored. Pass one unites the tasks' Bloom
     filters into one whose bits were set by two rows; pass two probes it. Only possibly repeated rows are
-    grouped (with map-side partial counts) and joined; the rest pass straight through.
+    grouped (with map-side partial counts) and joined, very large groups by a broadcast of at most 1000 of them;
+    the rest pass straight through.
     """
     spark = docs.sparkSession
     plain = F.regexp_replace(F.coalesce(F.col(text_column), F.lit("")), WORD_GAP, " ")
@@ -129,11 +130,11 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         raise TypeError("ids are long or string")
     probed = narrow.mapInArrow(_probe(spark.sparkContext.broadcast(bits), segments, arrow),
                                f"doc_id {id_type.simpleString()}, sha binary, row long, maybe boolean")
-    maybe = probed.filter("maybe")
-    groups = maybe.groupBy("sha").agg(
+    maybe = stored(probed.filter("maybe"), "exact-maybe")
+    groups = stored(maybe.groupBy("sha").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),
-        F.count(F.lit(1)).alias("n"))
-    grouped = maybe.join(groups, "sha").select(
+        F.count(F.lit(1)).alias("n")), "exact-groups")
+    grouped = join_counted(maybe, groups, "sha", "n").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("first.row") == F.col("row")).alias("kept"), "sha")
     alone = probed.filter("not maybe").select(
