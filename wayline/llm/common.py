@@ -53,7 +53,14 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def chunked(texts: Sequence[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Parts of few rows, so that only these stand in memory as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def chunked(texts: Sequence[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``limit`` bytes together; a longer text stands alone."""
     first, size = 0, 0
     for i, text in enumerate(texts):
@@ -98,12 +105,23 @@ def word_bounds(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return buffer, starts, ends, counts
 
 
-def word_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word: polynomial prefix sums over the bytes, shifted to the word's start, then mixed."""
-    n = len(buffer)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * _powers(n, _RADIX), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers(n, _RADIX_INVERSE)[starts])
+def word_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """A 64-bit hash of every word: polynomial prefix sums over the bytes, shifted to the word's start, then mixed.
+
+    Works on blocks of words that lie in about ``block`` bytes, so the tables stay small.
+    """
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        base = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, base + block, side="right")))
+        n = int(ends[j - 1] - base)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((buffer[base:base + n].astype(np.uint64) + np.uint64(1)) * _powers(n, _RADIX), out=sums[1:])
+        first, last = starts[i:j] - base, ends[i:j] - base
+        out[i:j] = (sums[last] - sums[first]) * _powers(n, _RADIX_INVERSE)[first]
+        i = j
+    return mix(out)
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -159,7 +159,7 @@ def _predict(model: Broadcast, extra: int, schema: pa.Schema, block: int = 256):
     """Append (lang_pred, score) to the first ``extra`` columns; the last column is the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: LanguageModel = model.value
+        m = LanguageModel(**model.value)
         landmarks = m.landmarks.T.astype(np.float32)
         flags = np.zeros(SPECTRUM, dtype=bool)
         for batch in batches:
@@ -206,7 +206,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, keep: list[st
                         ("score", pa.float64())])
     ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double"])
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_column).alias("text"))
-    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), len(keep), schema), ddl)
+    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep), schema), ddl)
     return scored.toDF(*keep, *as_names)
 
 

@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, mix, row_key, stored,
+from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, mix, row_key, slices, stored,
                                 window_hashes, word_hashes)
 
 #: Units that make a slot behind a number, and number words.
@@ -94,7 +94,7 @@ def _window_rows(columns: int, sizes: Sequence[int], wanted: Broadcast | None, s
         bits = np.frombuffer(wanted.value, dtype=np.uint8) if wanted is not None else None
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
+            for batch in slices(batches):
                 keys = list(zip(*(batch.column(i).to_pylist() for i in range(columns))))
                 texts = byte_texts(batch.column(columns))
                 for a, b in chunked(texts):

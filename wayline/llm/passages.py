@@ -10,13 +10,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, pack, row_key, unpack,
+from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, pack, row_key, slices, unpack,
                                 window_hashes, word_bounds, word_hashes)
 
 #: Words whose hash may become a window's minimiser.
 SEED_WORDS = 4
 #: Bytes of text after which a task sends its super-k-mers on.
-FLUSH_BYTES = 16 << 20
+FLUSH_BYTES = 8 << 20
 BUCKETS_PER_PARTITION = 4
 
 _SPACES = bytes(32 if 9 <= b <= 13 else b for b in range(256))
@@ -76,9 +76,9 @@ def _count_seeds(n: int, buckets: int):
         none = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             mins = []
-            texts = [plain_words(t) for t in byte_texts(batch.column(0))]
-            for a, b in chunked(texts):
-                mins.append(super_kmers(texts[a:b], n, none)[-1])
+            for part in slices([batch]):
+                texts = [plain_words(t) for t in byte_texts(part.column(0))]
+                mins += [super_kmers(texts[a:b], n, none)[-1] for a, b in chunked(texts)]
             if mins:
                 joined = np.concatenate(mins)
                 seeds, counts = np.unique(joined, return_counts=True)
@@ -126,7 +126,7 @@ def _send(n: int, buckets: int, heavy: Broadcast):
 
         def made() -> Iterator[tuple]:
             nonlocal size, met, again
-            for batch in batches:
+            for batch in slices(batches):
                 keys = batch.column(0).to_pylist()
                 texts = [plain_words(t) for t in byte_texts(batch.column(1))]
                 for a, b in chunked(texts):
@@ -271,7 +271,8 @@ def _count(n: int):
         def hits() -> Iterator[tuple]:
             bucket, held = None, []
             for batch in batches:
-                for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for b, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    data = data.as_py()
                     if b != bucket and held:
                         yield from _count_bucket(held, n)
                         held = []
@@ -305,7 +306,7 @@ def _cut(n: int, id_type: pa.DataType):
                         ("kept_text", pa.string())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = batch.column(2).to_pylist()
             for doc, text, found in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), spans):
                 words = text.split()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayline.llm import chat, exact, language, leaks, lines, mixing, passages, scoring, warc
+from wayline.llm import chat, exact, language, leaks, lines, mixing, neardup, passages, scoring, warc
 from wayline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query("op8_near_duplicates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_classes(table(spark, sf_dir, "documents")).drop("key")
+
+
 @query("op9_lm_scoring")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = language.remainder(F.col("doc_id"), 7)

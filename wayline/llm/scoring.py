@@ -12,7 +12,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import MASK64, arrow_batches, byte_texts, mix, pack, stored, unpack
+from wayline.llm.common import MASK64, arrow_batches, byte_texts, mix, pack, slices, stored, unpack
 
 #: The end of a text as a token; it holds a separator, so no word can be equal to it.
 END = b"\n"
@@ -114,7 +114,7 @@ def _count(buckets: int):
         def rows() -> Iterator[tuple]:
             nonlocal chunk
             held, size = ([], [], [], []), 0
-            for batch in batches:
+            for batch in slices(batches):
                 for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                batch.column(2).to_pylist(), byte_texts(batch.column(3))):
                     for kept, value in zip(held, row):
@@ -278,16 +278,17 @@ def _score(total: int, kinds: int, weight: float, pairs_of: Broadcast, schema: p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            held = []
+            held, known_pairs = [], CountFilter(**pairs_of.value)
             for batch in batches:
-                for kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for kind, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    data = data.as_py()
                     if kind == "known":
                         held.append(unpack_counts(data))
                         continue
                     hashes = np.concatenate([h for h, _ in held])
                     counts = np.concatenate([c for _, c in held])
                     held = []
-                    yield from _score_texts(data, hashes, counts, total, kinds, weight, pairs_of.value)
+                    yield from _score_texts(data, hashes, counts, total, kinds, weight, known_pairs)
 
         yield from arrow_batches(rows(), schema)
 
@@ -332,6 +333,6 @@ def score_texts(docs: DataFrame, trains: Column, held_out: Column, id_column: st
     met = merged.filter("kind = 'known'").select("kind", "chunk", "bucket", "data").unionByName(
         counted.filter("kind = 'texts'").select("kind", "chunk", "bucket", "data"))
     return met.repartition("chunk").sortWithinPartitions("chunk", "bucket").select("kind", "data").mapInArrow(
-        _score(sums.total or 0, sums.kinds or 0, weight, spark.sparkContext.broadcast(pairs), schema),
+        _score(sums.total or 0, sums.kinds or 0, weight, spark.sparkContext.broadcast(vars(pairs)), schema),
         f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double")

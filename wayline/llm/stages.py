@@ -2,9 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from wayline.llm import mixing
+from wayline.llm import language, leaks, lines, mixing, neardup
+from wayline.llm.common import row_key, table
+
+#: Documents whose language scores below this are rejected, like those without a letter.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the model knows; those without letters or of unclear language go."""
+    trains = language.remainder(F.col("doc_id"), 4) != 2
+    model = language.fit_language_model(docs, trains)
+    scored = language.predict_language(docs, model, docs.columns, as_names=("_lang_pred", "_score"))
+    return scored.filter((F.col("_lang_pred") != language.UNDETERMINED)
+                         & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines whose template recurs; n_chars follows the text."""
+    kept = lines.drop_recurring_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    kept = neardup.near_duplicate_classes(docs).filter("kept").select(F.col("key").alias("_kept"))
+    own = docs.withColumn("_own", row_key(F.col("doc_id"), F.col("text")))
+    joined = own.join(kept, F.col("_own") == F.col("_kept"))
+    # repeated rows share a key; one of them stays
+    first = Window.partitionBy("_own").orderBy("lang", "source")
+    return joined.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return leaks.drop_leaking(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
