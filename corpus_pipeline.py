@@ -8,6 +8,10 @@ from wayline.llm import stages
 from wayline.llm.common import stored, table
 
 STAGES = [
+    ("language_id", stages.language_id),
+    ("line_dedup", stages.line_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("decontamination", stages.decontamination),
     ("source_mix", stages.source_mix),
 ]
 

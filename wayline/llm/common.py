@@ -144,8 +144,8 @@ def inside_texts(counts: np.ndarray, n: int, size: int) -> np.ndarray:
     return ok
 
 
-def pack(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+def pack(data: bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def unpack(data: bytes) -> bytes:

@@ -16,7 +16,7 @@ from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts
 #: Words whose hash may become a window's minimiser.
 SEED_WORDS = 4
 #: Bytes of text after which a task sends its super-k-mers on.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 12 << 20
 BUCKETS_PER_PARTITION = 4
 
 _SPACES = bytes(32 if 9 <= b <= 13 else b for b in range(256))
@@ -122,7 +122,7 @@ def _send(n: int, buckets: int, heavy: Broadcast):
                 by_bucket.setdefault(bucket, []).append((text, key, at, windows, text in again))
             for bucket, rows in by_bucket.items():
                 places = {(key, at, windows) for text, *_ in rows for key, at, windows in again.get(text, ())}
-                yield bucket, pack(_to_bytes(rows, places))
+                yield bucket, pack(_to_bytes(rows, places), 5)
 
         def made() -> Iterator[tuple]:
             nonlocal size, met, again
