@@ -100,10 +100,16 @@ def labelled_sample(docs: DataFrame, trains: Column, per_language: int, most: in
     known = docs.filter(trains & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(lang_column).alias("lang"), F.col(id_column).cast("string").alias("doc"),
         F.xxhash64(F.lit("language"), F.col(id_column).cast("string")).alias("draw"))
-    languages = known.agg(F.count_distinct("lang")).first()[0]
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    languages = sizes.count()
+    if languages > most:
+        raise ValueError(f"more than {most} languages")
     each = max(1, min(per_language, most // max(1, languages)))
+    # the least draws lie below a share of all draws with room to spare, so few rows are ranked at any size
+    share = F.lit(2.0 * each + 50) / F.col("n")
+    low = known.join(F.broadcast(sizes), "lang").filter(F.col("draw") / F.lit(2.0**64) + 0.5 <= share)
     in_language = Window.partitionBy("lang").orderBy("draw", "doc")
-    drawn = stored(known.withColumn("at", F.row_number().over(in_language)).filter(F.col("at") <= each)
+    drawn = stored(low.withColumn("at", F.row_number().over(in_language)).filter(F.col("at") <= each)
                    .select("lang", "doc", "draw").distinct(), "language-sample")
     texts = docs.select(F.col(lang_column).alias("lang"), F.col(id_column).cast("string").alias("doc"),
                         F.col(text_column).alias("text")).filter(F.col("text").isNotNull())
