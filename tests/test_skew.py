@@ -98,8 +98,8 @@ def test_null_tolerant_join(spark):
     assert got == [(1, "m1"), (1, "m2"), (2, "m1")] and sorted(rest) == [3, 4]
 
 
-@pytest.mark.parametrize("sent", [vectors.MAX_SENT_BYTES, 0])
-def test_vector_search_both_ways(spark, sent):
+@pytest.mark.parametrize("fragment", [vectors.FRAGMENT_BYTES, 500])
+def test_vector_search_in_fragments(spark, fragment):
     rng = np.random.default_rng(1)
     base, asked = rng.normal(size=(400, 8)), rng.normal(size=(30, 8))
     base[5] = 0.0
@@ -107,8 +107,8 @@ def test_vector_search_both_ways(spark, sent):
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)],
                                     "query_id long, query_vector array<double>")
     got = defaultdict(list)
-    for r in vectors.vector_search_topk(index.repartition(6), queries, k=4, max_sent_bytes=sent,
-                                        index_cells=3).orderBy("query_id", "rank").collect():
+    for r in vectors.vector_search_topk(index.repartition(6), queries, k=4, fragment_bytes=fragment
+                                        ).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["id"])
     norms = np.linalg.norm(base, axis=1)
     norms[5] = np.inf
@@ -119,6 +119,45 @@ def test_vector_search_both_ways(spark, sent):
     assert [r["review_id"] for r in one] == got[0]
 
 
+def test_equal_vectors_rank_by_id_in_any_partitioning(spark):
+    rng = np.random.default_rng(7)
+    base = np.repeat(rng.normal(size=(40, 24)), 5, axis=0)
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    index = spark.createDataFrame(rows, "review_id long, embedding array<double>")
+    queries = spark.createDataFrame([(i, rng.normal(size=24).tolist()) for i in range(25)],
+                                    "query_id long, query_vector array<double>")
+    alone = index.filter("review_id % 5 = 0").coalesce(1)
+    shapes = [index.coalesce(1), index.repartition(3), index.repartition(17),
+              alone.unionByName(index.filter("review_id % 5 > 0").repartition(4))]
+    got = [[tuple(r) for r in vectors.vector_search_topk(s, queries, k=7).orderBy("query_id", "rank").collect()]
+           for s in shapes]
+    assert all(g == got[0] for g in got)
+    for query in range(25):
+        ids = [r[1] for r in got[0] if r[0] == query]
+        assert ids[:5] == list(range(ids[0], ids[0] + 5)) and ids[0] % 5 == 0
+
+
+def test_latest_snapshot_neither_shuffles_nor_sorts_the_big_side(spark):
+    days = spark.range(2000).selectExpr("concat('c', id % 20) as city", "concat('d', id % 7) as snapshot", "id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        latest = relational.join_latest_snapshot(days, ["city"], "snapshot")
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert latest.count() == sum(1 for i in range(2000) if i % 7 == 6)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_forward_fill_orders_ties(spark):
+    rows = [("a", dt.date(2024, 1, 1), 2, None), ("a", dt.date(2024, 1, 1), 1, 5), ("a", dt.date(2024, 2, 1), 3, None),
+            ("a", dt.date(2024, 2, 1), 4, 7), ("a", dt.date(2024, 3, 9), 0, None)]
+    df = spark.createDataFrame(rows, "k string, d date, n int, v int")
+    got = windows.window_forward_fill(df, ["k"], "d", ["v"], ["n"]).orderBy("d", "n").collect()
+    assert [r["v"] for r in got] == [5, 5, 5, 7, 7]
+
+
 def test_plans_prune_groups_before_the_shuffle(spark, small_dir):
     lines = spark.read.parquet(f"{small_dir}/lineitem.parquet")
     plan = windows.dedup_latest(lines, ["l_orderkey"], "l_shipdate")._jdf.queryExecution().executedPlan().toString()

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayline import functions as fn
+from wayline.operators import enrichment, vectors
 from wayline.operators import relational as rel
 from wayline.operators import windows as win
-from wayline.plans import dims, marts, staging
+from wayline.plans import dims, facts, marts, staging
 from wayline.sources.schemas import bronze_schema
 
 C = F.col
@@ -214,3 +215,40 @@ def test_airports_priority_and_alias(spark):
 def test_optional_filter(spark, city, want):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "city string")
     assert rel.filter_optional_param(df, "city", city).count() == want
+
+
+def test_large_numbers_become_values_or_null_but_stop_no_job(spark):
+    rows = [("97%",), ("1000000000000000000%",), ("99999999999999999999%",)]
+    got = [g[0] for g in values(spark, rows, "a string", p=fn.fn_percent(C("a")))]
+    assert got == [Decimal("0.97"), Decimal(10**16), None]
+    stay = {"booked_at": "2024-01-01 10:00:00", "currency_code": "USD", "nightly_rate": "9999999999.99"}
+    stays = raw(spark, "stay_bookings", [
+        {**stay, "stay_booking_id": "1", "nights": "1000000"}, {**stay, "stay_booking_id": "2", "nights": "2"},
+        {**stay, "stay_booking_id": "3", "nights": str(10**18)}])
+    fx = spark.createDataFrame([(dt.date(2024, 1, 1), "USD", Decimal(1))],
+                               "rate_date date, currency_code string, usd_per_unit decimal(18,8)")
+    fact = {r["stay_booking_id"]: r for r in facts.fct_stay_bookings(staging.stg_stay_bookings(stays), fx).collect()}
+    assert fact[1]["nights"] == 1_000_000 and fact[1]["accommodation_usd"] == Decimal("9999999999990000.00")
+    assert fact[2]["accommodation_usd"] == Decimal("19999999999.98") and fact[3]["accommodation_usd"] is None
+
+
+def test_first_load_keeps_rows_without_a_load_time(spark):
+    rows = raw(spark, "users", [{"user_id": "1", "_loaded_at": None}, {"user_id": "2"}])
+    assert facts.new_rows(rows, None).count() == 2
+
+
+def test_question_without_text_keeps_its_row(spark):
+    hits = spark.createDataFrame([(1, 1, "x", dt.date(2024, 1, 1), None), (2, 2, "x", dt.date(2024, 1, 1), "b"),
+                                  (2, 1, None, None, None)],
+                                 "query_id long, rank int, city string, review_date date, comment_text string")
+    got = {r["query_id"]: (r["n_hits"], r["context"]) for r in vectors.rag_context(hits).collect()}
+    assert got == {1: (0, ""), 2: (1, "[2] (x, 2024-01-01) b")}
+
+
+def test_one_of_several_results_is_taken_in_order(spark):
+    results = spark.createDataFrame([(1, "b", None), (1, "a", None), (2, "c", "late"), (2, "d", None)],
+                                    "review_id long, v string, error string")
+    target = spark.createDataFrame([], "review_id long, v string")
+    for _ in range(3):
+        got = enrichment.enrich_failed_retry(results.repartition(3), target, [C("v")]).collect()
+        assert sorted(tuple(r) for r in got) == [(1, "a"), (2, "d")]

@@ -179,3 +179,40 @@ def test_checks(spark):
 
 def test_checkpoint_folder_is_set_once(spark):
     assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+
+
+def test_merge_can_be_repeated_after_a_crash(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "fact"), "k int, d date, t int, v string"
+
+    def merge(rows):
+        return sinks.merge_into_partitions(spark.createDataFrame(rows, schema), path, ["k"], "t", "d")
+
+    def rows():
+        return sorted((r["k"], r["d"], r["v"]) for r in sinks.read_fact(spark, path).collect())
+
+    merge([(1, dt.date(2024, 1, 5), 1, "a"), (2, dt.date(2024, 2, 5), 1, "b")])
+    moved = [(1, dt.date(2024, 2, 9), 2, "c")]
+    with monkeypatch.context() as broken:
+        def stop(*_):
+            raise RuntimeError("executor and driver lost")
+        broken.setattr(sinks, "fact_partition_layout", stop)
+        with pytest.raises(RuntimeError):
+            merge(moved)
+    assert sinks.read_mark(spark, path, "t").first()["t"] == 1  # so the batch is chosen again
+    for _ in range(2):
+        merge(moved)
+        assert rows() == [(1, dt.date(2024, 2, 9), "c"), (2, dt.date(2024, 2, 5), "b")]
+    assert sinks.read_mark(spark, path, "t").first()["t"] == 2
+    tied = [(2, dt.date(2024, 2, 5), 3, v) for v in "xyz"]
+    merge(tied)
+    chosen = rows()
+    merge(tied[::-1])
+    assert rows() == chosen and len(chosen) == 2
+
+
+def test_merge_with_the_date_in_the_key_reads_only_the_batch_months(spark, tmp_path):
+    path, schema = str(tmp_path / "fact"), "k int, d date, t int, v string"
+    for batch in ([(i, dt.date(2024, 1 + i, 1), 1, "a") for i in range(6)], [(2, dt.date(2024, 3, 1), 2, "b")]):
+        sinks.merge_into_partitions(spark.createDataFrame(batch, schema), path, ["k"], "t", "d", date_in_key=True)
+    got = {r["k"]: r["v"] for r in sinks.read_fact(spark, path).collect()}
+    assert got == {0: "a", 1: "a", 2: "b", 3: "a", 4: "a", 5: "a"}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,7 +43,7 @@ def fn_replace_money(c: Column, precision: int = 12, scale: int = 2) -> Column:
 
 def fn_percent(c: Column) -> Column:
     """ "97%" -> 0.97 """
-    return (cast_try_number(F.replace(c, F.lit("%"), F.lit(""))).cast("decimal(18,0)") / F.lit(100)).cast(
+    return (cast_try_number(F.replace(c, F.lit("%"), F.lit(""))).cast("decimal(19,0)") / F.lit(100)).cast(
         "decimal(24,6)")
 
 
@@ -77,7 +75,7 @@ def fn_concat_left(c: Column, n: int, *more: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _decompose(names: pd.Series) -> pd.Series:
-    return names.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s))
+    return names.str.normalize("NFKD")
 
 
 def fn_ascii_fold(c: Column) -> Column:
@@ -85,7 +83,9 @@ def fn_ascii_fold(c: Column) -> Column:
     text = F.lower(c)
     for letter, plain in WHOLE_LETTERS.items():
         text = F.replace(text, F.lit(letter), F.lit(plain))
-    letters = F.regexp_replace(_decompose(text), "[^a-z]", "")
+    # plain ASCII needs no decomposition; Python only sees the other names
+    marked = _decompose(F.when(text.rlike("[^\\x00-\\x7F]"), text))
+    letters = F.regexp_replace(F.coalesce(marked, text), "[^a-z]", "")
     return F.when(c.isNotNull(), F.when(letters == "", F.lit(DEFAULT_NAME)).otherwise(letters))
 
 

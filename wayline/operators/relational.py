@@ -1,7 +1,7 @@
 """Projections, filters, joins and row sets as DataFrame -> DataFrame functions.
 
-No join here carries a broadcast hint: Catalyst broadcasts a side whose size it knows, and adaptive
-execution does so after measuring the shuffled side, with a sort-merge join (split on skew) otherwise.
+Joins carry no broadcast hint unless a side was counted: Catalyst broadcasts a side whose size it knows, and
+adaptive execution does so after measuring the shuffled side, with a sort-merge join (split on skew) otherwise.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from wayline.functions.hashing import hash_int, hash_uniform
 from wayline.operators.ranking import window_named_count
 
+# sides counted up to this many rows are broadcast
+SMALL_ROWS = 10_000
+
 # --- projections and filters -------------------------------------------------------------------
 
 
@@ -33,12 +36,12 @@ def filter_optional_param(df: DataFrame, column: str, value=None) -> DataFrame:
 
 
 def filter_high_water(df: DataFrame, target: DataFrame | None, ts: str) -> DataFrame:
-    """Rows newer than the newest row of the target; all rows with a time when it is empty.
+    """Rows newer than the newest row of the target; all rows when there is none.
 
     The mark is one scalar; as a literal it reaches the scan as a pushed filter.
     """
     newest = target.agg(F.max(ts)).first()[0] if target is not None else None
-    return df.filter(F.col(ts).isNotNull() if newest is None else F.col(ts) > F.lit(newest))
+    return df if newest is None else df.filter(F.col(ts) > F.lit(newest))
 
 
 def filter_not_in_correlated(df: DataFrame, other: DataFrame, on: Sequence[str], value: str) -> DataFrame:
@@ -82,8 +85,17 @@ def join_using(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def join_latest_snapshot(df: DataFrame, group: Sequence[str], snapshot: str) -> DataFrame:
-    """Rows of each group's newest snapshot: a group-max and a join, no sort of the big table."""
-    newest = df.groupBy(*group).agg(F.max(snapshot).alias(snapshot))
+    """Rows of each group's newest snapshot.
+
+    The distinct (group, snapshot) pairs come from one hash aggregate; their maxima, one row per group, are
+    counted: up to ``SMALL_ROWS`` they are broadcast, so the big table is neither shuffled nor sorted. More
+    groups than that meet the table in an ordinary join.
+    """
+    pairs = df.select(*group, snapshot).distinct()
+    newest = pairs.groupBy(*group).agg(F.max(snapshot).alias(snapshot))
+    few = newest.limit(SMALL_ROWS + 1).collect()
+    if len(few) <= SMALL_ROWS:
+        newest = F.broadcast(df.sparkSession.createDataFrame(few, newest.schema))
     return df.join(newest, [*group, snapshot], "left_semi")
 
 
@@ -101,19 +113,13 @@ def join_null_tolerant_or(left: DataFrame, right: DataFrame, key: str, column: s
                           take: Sequence[str]) -> DataFrame:
     """Left join where a NULL ``column`` on the right matches every row of the key.
 
-    Written as an equality join on (key, column) plus one on (key) for the NULL rows, so that no
-    OR condition multiplies a hot key by all of its rules before filtering.
+    The rules of a key become one array, joined once by key; a row then takes the rules that fit it. The
+    left side is read once, and a hot key meets one row instead of all its rules.
     """
-    general = right.filter(F.col(column).isNull()).select(key, *take).withColumn("_any", F.lit(True))
-    special = right.filter(F.col(column).isNotNull()).select(key, column, *take).withColumn("_hit", F.lit(True))
-    matched_special = left.join(special, [key, column], "inner").drop("_hit").select(*left.columns, *take)
-    matched_general = left.join(general, [key], "inner").drop("_any").select(*left.columns, *take)
-    keys_special = special.select(key, column).distinct()
-    keys_general = general.select(key).distinct()
-    unmatched = left.join(keys_special, [key, column], "left_anti").join(keys_general, [key], "left_anti")
-    empty = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in take]
-    unmatched = unmatched.select(*left.columns, *empty)
-    return matched_special.unionByName(matched_general).unionByName(unmatched)
+    rules = right.groupBy(key).agg(F.collect_list(F.struct(F.col(column).alias("_for"), *take)).alias("_rules"))
+    fit = F.filter("_rules", lambda r: r["_for"].isNull() | (r["_for"] == F.col(column)))
+    matched = left.join(rules, key, "left").withColumn("_rule", F.explode_outer(fit))
+    return matched.select(*left.columns, *[F.col(f"_rule.{c}").alias(c) for c in take])
 
 
 def join_semi_exists(left: DataFrame, right: DataFrame, on) -> DataFrame:

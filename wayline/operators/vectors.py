@@ -16,10 +16,9 @@ from wayline.operators.relational import filter_optional_param
 from wayline.operators.windows import window_top_n_per_group
 
 TOP_K = 8
-MAX_SENT_BYTES = 32 << 20      # queries up to this size travel with the task
-FRAGMENT_ROWS = 50_000         # index rows per cell beyond it
-QUERY_ROWS = 2_000             # query rows per cell beyond it
+FRAGMENT_BYTES = 32 << 20      # queries that travel with the tasks at a time
 QUERY_SLICE = 256              # queries scored at once inside a task
+_SCALE = 1 << 26               # unit vectors as whole numbers: their products stay below 2**53, so sums are exact
 
 
 def search_one(index: DataFrame, vector: list[float], k: int = TOP_K, city: str | None = None,
@@ -36,35 +35,42 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.full_like(matrix, np.nan), where=norms > 0)
 
 
-Best = tuple[np.ndarray, np.ndarray]     # ids and scores, one row per query, best first
+Best = tuple[np.ndarray, np.ndarray, np.ndarray]     # ids, order keys and scores, one row per query, best first
 
 
 def _block_best(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int) -> Best:
-    """Best k index rows of one block for each query, ties by id; scores are held for a slice of queries."""
+    """Best k index rows of one block for each query, ties by id; keys are held for a slice of queries.
+
+    The order key is the product of whole-number vectors: exact in any order of summation, so equal vectors
+    tie in every block, and blocks, partitions and threads don't change the ranking.
+    """
     order = np.argsort(ids, kind="stable")
-    ids, columns = ids[order], _unit(vectors[order]).T
-    keep, parts = min(k, len(ids)), []
+    ids, index = ids[order], _unit(vectors[order])
+    whole, keep, parts = np.rint(index * _SCALE).T, min(k, len(ids)), []
     for start in range(0, len(queries), QUERY_SLICE):
-        scores = _unit(queries[start:start + QUERY_SLICE]) @ columns
-        scores = np.where(np.isnan(scores), -np.inf, scores)
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-        parts.append((ids[top], np.take_along_axis(scores, top, axis=1)))
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        asked = _unit(queries[start:start + QUERY_SLICE])
+        keys = np.rint(asked * _SCALE) @ whole
+        keys = np.where(np.isnan(keys), -np.inf, keys)
+        top = np.argsort(-keys, axis=1, kind="stable")[:, :keep]
+        # the score itself, for the chosen rows only: one pair after another, whatever the block
+        scores = np.stack([(index[top[:, i]] * asked).cumsum(axis=1)[:, -1] for i in range(keep)], axis=1)
+        parts.append((ids[top], np.take_along_axis(keys, top, axis=1), scores))
+    return tuple(np.concatenate(p) for p in zip(*parts))
 
 
 def _fold(left: Best | None, right: Best, k: int) -> Best:
     """Best k of two blocks."""
     if left is None:
         return right
-    ids, scores = np.hstack([left[0], right[0]]), np.hstack([left[1], right[1]])
-    top = np.lexsort((ids, -scores), axis=1)[:, :k]
-    return np.take_along_axis(ids, top, axis=1), np.take_along_axis(scores, top, axis=1)
+    ids, keys, scores = (np.hstack(pair) for pair in zip(left, right))
+    top = np.lexsort((ids, -keys), axis=1)[:, :k]
+    return tuple(np.take_along_axis(part, top, axis=1) for part in (ids, keys, scores))
 
 
 def _rows(qids: np.ndarray, best: Best) -> pd.DataFrame:
-    ids, scores = best
-    return pd.DataFrame({"query_id": np.repeat(qids, ids.shape[1]), "id": ids.ravel(),
-                         "score": np.where(np.isinf(scores), np.nan, scores).ravel()})
+    ids, keys, scores = best
+    return pd.DataFrame({"query_id": np.repeat(qids, ids.shape[1]), "id": ids.ravel(), "key": keys.ravel(),
+                         "score": scores.ravel()})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -73,62 +79,55 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, city: str | None = None,
                        vec_col: str = "embedding", id_col: str = "review_id", query_id: str = "query_id",
-                       query_vec: str = "query_vector", max_sent_bytes: int = MAX_SENT_BYTES,
-                       index_cells: int | None = None) -> DataFrame:
-    """Best k index rows for each query: (query_id, id, score, rank).
-
-    A query set of checked size is sent to the tasks, which score their part of the index block by
-    block. A larger one is cut into a grid of cells (index fragment x query fragment) of bounded size,
-    each scored on its own. A task, or a cell, emits k rows per query, and a grouped first-k (pruned
-    before its shuffle) gives the final answer.
+                       query_vec: str = "query_vector", fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+    """Best k index rows for each query: (query_id, id, score, rank), ties by id.
+
+    The queries are cut into fragments of at most about ``fragment_bytes``; each travels with the tasks over one
+    pass of the index, whose rows stay where they are. A task emits k rows per query, and a grouped first-k
+    (pruned before its shuffle) gives the final answer. The work is rows times queries, as the search is exact.
     """
     rows = filter_optional_param(index, "city", city).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).filter("v is not null")
-    asked = queries.select(F.col(query_id).cast("bigint").alias("qid"), F.col(query_vec).alias("q"))
+    asked = queries.select(F.col(query_id).cast("bigint").alias("qid"), F.col(query_vec).alias("q")).filter(
+        "q is not null")
     out = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType()),
-                        T.StructField("score", T.DoubleType())])
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("q")), F.lit(0)).alias("cells")).first()
-    if size["cells"] * 8 <= max_sent_bytes:
-        sent = asked.toPandas()
+                        T.StructField("key", T.DoubleType()), T.StructField("score", T.DoubleType())])
+    cells = asked.agg(F.coalesce(F.sum(F.size("q")), F.lit(0)).alias("cells")).first()["cells"]
+    fragments = max(1, -(-cells * 8 // fragment_bytes))
+    partial = None
+    for i in range(fragments):
+        sent = asked.filter(F.pmod(F.xxhash64("qid"), F.lit(fragments)) == i).toPandas()
         if sent.empty:
-            return index.sparkSession.createDataFrame([], out).withColumn("rank", F.lit(1))
+            continue
         shared = index.sparkSession.sparkContext.broadcast((sent["qid"].to_numpy(), _matrix(sent["q"])))
-
-        def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            (qids, q), best = shared.value, None
-            for frame in frames:
-                if len(frame):
-                    best = _fold(best, _block_best(frame["id"].to_numpy(), _matrix(frame["v"]), q, k), k)
-            if best is not None:
-                yield _rows(qids, best)
-
-        partial = rows.mapInPandas(score, out)
-    else:
-        n_queries = max(1, -(-size["n"] // QUERY_ROWS))
-        n_index = index_cells or max(1, -(-rows.count() // FRAGMENT_ROWS))
-        cells_i = rows.withColumn("ci", F.pmod(F.xxhash64("id"), F.lit(n_index))).withColumn(
-            "cq", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
-        cells_q = asked.withColumn("cq", F.pmod(F.xxhash64("qid"), F.lit(n_queries)).cast("int")).withColumn(
-            "ci", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_index - 1).cast("bigint"))))
-
-        def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if left.empty or right.empty:
-                return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
-                    {"query_id": "int64", "id": "int64"})
-            return _rows(right["qid"].to_numpy(), _block_best(left["id"].to_numpy(), _matrix(left["v"]),
-                                                              _matrix(right["q"]), k))
-
-        partial = cells_i.groupBy("ci", "cq").cogroup(cells_q.groupBy("ci", "cq")).applyInPandas(cell, out)
-    order = [F.col("score").desc_nulls_last(), F.col("id").asc()]
+        part = rows.mapInPandas(_scorer(shared, k), out)
+        partial = part if partial is None else partial.unionByName(part)
+    if partial is None:
+        partial = index.sparkSession.createDataFrame([], out)
+    order = [F.col("key").desc_nulls_last(), F.col("id").asc()]
     best = window_top_n_per_group(partial, ["query_id"], order, k, spread_by=["id"])
-    return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    return ranked.select("query_id", "id", "score", "rank")
+
+
+def _scorer(shared, k: int):
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (qids, q), best = shared.value, None
+        for frame in frames:
+            if len(frame):
+                best = _fold(best, _block_best(frame["id"].to_numpy(), _matrix(frame["v"]), q, k), k)
+        if best is not None:
+            yield _rows(qids, best)
+
+    return score
 
 
 def rag_context(hits: DataFrame, query_id: str = "query_id") -> DataFrame:
-    """Numbered "[i] (city, date) text" blocks per question; a question has at most k hits."""
+    """Numbered "[i] (city, date) text" blocks per question; a question has at most k hits. Hits without
+    text are left out of the block; a question without any text keeps its row with an empty block."""
     line = F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] ("), F.col("city"), F.lit(", "),
                     F.col("review_date").cast("string"), F.lit(") "), F.col("comment_text"))
-    grouped = hits.groupBy(query_id).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("rank"), line.alias("line")))).alias("lines"))
+    grouped = hits.groupBy(query_id).agg(F.array_sort(F.collect_list(
+        F.when(line.isNotNull(), F.struct(F.col("rank"), line.alias("line"))))).alias("lines"))
     return grouped.select(query_id, F.size("lines").alias("n_hits"),
                           F.concat_ws("\n\n", F.col("lines.line")).alias("context"))

@@ -53,15 +53,17 @@ def window_top_n_per_group(df: DataFrame, group: Sequence[str], orders: Sequence
     return ranked.filter(F.col("_rn") <= n).drop("_rn")
 
 
-def window_forward_fill(df: DataFrame, key: Sequence[str], date: str, columns: Sequence[str]) -> DataFrame:
-    """Carry the last known value forward along ``date``.
+def window_forward_fill(df: DataFrame, key: Sequence[str], date: str, columns: Sequence[str],
+                        ties: Sequence[str] = ()) -> DataFrame:
+    """Carry the last known value forward along ``date``, then ``ties``; together they must be unique in a key.
 
     A key is filled month by month, so no task sorts a key's whole history; the last known values of
     the months (one row per key and month) are carried into the following months.
     """
+    order = [date, *ties]
     months = df.withColumn("_month", F.trunc(F.col(date).cast("date"), "MM"))
-    in_month = Window.partitionBy(*key, "_month").orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    known = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(f"_last_{c}") for c in columns]
+    in_month = Window.partitionBy(*key, "_month").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    known = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{c}") for c in columns]
     lasts = months.groupBy(*key, "_month").agg(*known)
     over_key = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
     earlier = over_key.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)

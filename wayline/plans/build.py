@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayline.plans import dims, facts, marts, staging
 from wayline.plans.quality import quality_report
-from wayline.sources.files import path_exists, read_or_empty
+from wayline.sources.files import read_or_empty
 from wayline.sources.schemas import ENRICHMENT_TYPES
-from wayline.sources.sinks import layer_path, merge_into_partitions, read_fact
+from wayline.sources.sinks import layer_path, merge_into_partitions, read_mark
 
 _STAGED = {"stg_listings": staging.stg_listings, "stg_calendar": staging.stg_calendar,
            "stg_reviews": staging.stg_reviews, "stg_airports": staging.stg_airports,
@@ -29,10 +29,6 @@ def _publish(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _existing_fact(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_fact(spark, path) if path_exists(spark, path) else None
-
-
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
           as_of: dt.date, enrichments: DataFrame | None = None,
           calendar_range: tuple[dt.date, dt.date] = dims.SPINE) -> dict[str, DataFrame]:
@@ -48,10 +44,10 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
         t[name] = _publish(rows, root, "staging", name)
 
     def fact(name: str, source: str, make) -> DataFrame:
-        key, date = facts.FACT_KEYS[name]
+        key, date, date_in_key = facts.FACT_KEYS[name]
         path = layer_path(root, "facts", name)
-        rows = make(facts.new_rows(raw[source], _existing_fact(spark, path)))
-        return merge_into_partitions(rows, path, [key], "_loaded_at", date)
+        rows = make(facts.new_rows(raw[source], read_mark(spark, path, "_loaded_at")))
+        return merge_into_partitions(rows, path, [key], "_loaded_at", date, date_in_key)
 
     t["fct_flights"] = fact("fct_flights", "flights", lambda r: facts.fct_flights(staging.stg_flights(r)))
     t["fct_stay_bookings"] = fact("fct_stay_bookings", "stay_bookings", lambda r: facts.fct_stay_bookings(

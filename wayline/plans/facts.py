@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.functions.dates import fn_date_diff
 from wayline.functions.numbers import fn_fx_convert
 from wayline.operators.relational import filter_high_water, join_multi_key_fx
 
-FACT_KEYS = {"fct_flights": ("flight_id", "flight_date"), "fct_stay_bookings": ("stay_booking_id", "checkin_date"),
-             "fct_flight_bookings": ("flight_booking_id", "flight_date")}
+# key, date column, and whether the key holds the date
+FACT_KEYS = {"fct_flights": ("flight_id", "flight_date", True),
+             "fct_stay_bookings": ("stay_booking_id", "checkin_date", False),
+             "fct_flight_bookings": ("flight_booking_id", "flight_date", False)}
 
 
 def new_rows(raw: DataFrame, fact: DataFrame | None) -> DataFrame:
-    """Raw rows loaded after the fact's newest row, cut before the dedup so the scan can skip old files.
+    """Raw rows loaded after the newest time of the fact (or of its load mark), cut before the dedup so the scan can skip old files.
     The result is the same: a key's newest row either passes, or the key has nothing new."""
     return filter_high_water(raw, fact, "_loaded_at")
 
@@ -30,6 +32,15 @@ def fct_flights(flights: DataFrame) -> DataFrame:
         "late_aircraft_delay_min", "_loaded_at")
 
 
+def _lodging_usd(nightly: Column, nights: Column, rate: Column) -> Column:
+    """Nightly rate times nights in the report currency; a product too large for money is NULL."""
+    usual = fn_fx_convert(nightly * nights.try_cast("decimal(6,0)"), rate)
+    large = F.try_multiply((nightly * nights.cast("decimal(19,0)")).try_cast("decimal(20,2)"), rate)
+    kind = "decimal(24,2)"
+    return F.when(nights.between(-999_999, 999_999), usual.try_cast(kind)).otherwise(
+        F.round(large, 2).try_cast(kind))
+
+
 def fct_stay_bookings(stays: DataFrame, fx: DataFrame) -> DataFrame:
     """Stays with local and converted money, at the rate of the booking day."""
     day = F.col("booked_at").cast("date")
@@ -47,7 +58,7 @@ def fct_stay_bookings(stays: DataFrame, fx: DataFrame) -> DataFrame:
         "cancelled_at", "payment_method", "booking_channel", "currency_code", "nightly_rate_local",
         "total_amount_local", rate.alias("fx_usd_per_unit"),
         usd(F.col("nightly_rate_local")).alias("nightly_rate_usd"),
-        usd(F.col("nightly_rate_local") * F.col("nights").cast("decimal(6,0)")).alias("accommodation_usd"),
+        _lodging_usd(F.col("nightly_rate_local"), F.col("nights"), rate).alias("accommodation_usd"),
         usd(F.col("cleaning_fee_local")).alias("cleaning_fee_usd"),
         usd(F.col("service_fee_local")).alias("service_fee_usd"),
         usd(F.col("total_amount_local")).alias("total_amount_usd"),

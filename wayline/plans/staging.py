@@ -38,7 +38,8 @@ def stg_flights(raw: DataFrame) -> DataFrame:
              "is_arr_delayed_15": "arr_del15"}
     keyed = raw.withColumn("flight_id", flight_key(c("flight_date"), c("reporting_airline"), c("flight_number"),
                                                    c("origin"), c("dest"), c("crs_dep_time")))
-    typed = dedup_latest(keyed, ["flight_id"], "_loaded_at", _TIE).select(
+    # numbers, dates and flags go through the dedup's shuffle and sort, not the raw texts
+    typed = dedup_latest(keyed.select(
         "flight_id", cast_try_date(c("flight_date")).alias("flight_date"),
         fn_trim_case(c("reporting_airline")).alias("airline_code"),
         cast_try_number(c("flight_number")).alias("flight_number"),
@@ -50,7 +51,7 @@ def stg_flights(raw: DataFrame) -> DataFrame:
         *[cast_try_int(c(src)).alias(out) for out, src in minutes.items()],
         *[cast_numeric_flag(c(src)).alias(out) for out, src in flags.items()],
         project_decode(c("cancellation_code"), CANCELLATION_REASONS).alias("cancellation_reason"),
-        "_source_file", "_loaded_at")
+        "_source_file", "_loaded_at"), ["flight_id"], "_loaded_at", _TIE)
     next_day = F.coalesce((c("scheduled_arr_minute") < c("scheduled_dep_minute")).cast("int"), F.lit(0))
     timed = typed.withColumns({
         "scheduled_departure_at": fn_timestamp_from_parts(c("flight_date"), c("scheduled_dep_minute")),
@@ -70,8 +71,7 @@ def stg_listings(raw: DataFrame, cities: DataFrame) -> DataFrame:
              "availability_90", "availability_365", "number_of_reviews", "number_of_reviews_ltm"]
     scores = ["rating", "accuracy", "cleanliness", "checkin", "communication", "location", "value"]
     keyed = raw.withColumns({"_id": cast_try_number(c("listing_id")), "_snap": cast_try_date(c("snapshot_date"))})
-    newest = dedup_latest_two_keys(keyed, ["_id"], "_snap", "_loaded_at", _TIE)
-    typed = newest.select(
+    typed = dedup_latest_two_keys(keyed.select(
         c("_id").alias("listing_id"), "city", c("_snap").alias("snapshot_date"),
         cast_try_date(c("last_scraped")).alias("last_scraped_date"), c("name").alias("listing_name"),
         fn_clean_html(c("description")).alias("description"), cast_try_number(c("host_id")).alias("host_id"),
@@ -94,7 +94,7 @@ def stg_listings(raw: DataFrame, cities: DataFrame) -> DataFrame:
         *[cast_try_number(c(f"review_scores_{s}"), 4, 2).alias(f"review_score_{s}") for s in scores],
         cast_try_number(c("estimated_occupancy_l365d")).alias("estimated_occupied_nights_l365d"),
         cast_try_number(c("estimated_revenue_l365d"), 14, 2).alias("estimated_revenue_local_l365d"),
-        "_source_file", "_loaded_at")
+        "_source_file", "_loaded_at"), ["listing_id"], "snapshot_date", "_loaded_at", _TIE)
     return join_left_dim(typed, cities.select("city", "currency_code"), "city")
 
 

@@ -230,13 +230,11 @@ def _(t):
 
 
 @query("window_forward_fill", """
-select o_custkey, o_orderdate, o_orderkey, last_value(known ignore nulls) over (partition by o_custkey
-  order by o_orderdate rows between unbounded preceding and current row) as known
-from (select o_custkey, o_orderdate, o_orderkey, case when o_orderstatus = 'F' then o_totalprice end as known
-      from {orders} qualify count(*) over (partition by o_custkey, o_orderdate) = 1)""")
-def _(t):
-    # one row per user and day, as the operator fills along a date
-    once = t["orders"].groupBy("o_custkey", "o_orderdate").agg(
-        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("o_orderkey"),
-        F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("known")).filter("n = 1").drop("n")
-    return win.window_forward_fill(once, ["o_custkey"], "o_orderdate", ["known"])
+select o_custkey, o_orderdate, o_orderkey,
+  last_value(case when o_orderstatus = 'F' then o_totalprice end ignore nulls) over (partition by o_custkey
+    order by o_orderdate, o_orderkey rows between unbounded preceding and current row) as known
+from {orders}""")
+def _(t):
+    orders = t["orders"].select("o_custkey", "o_orderdate", "o_orderkey", F.when(
+        F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("known"))
+    return win.window_forward_fill(orders, ["o_custkey"], "o_orderdate", ["known"], ["o_orderkey"])

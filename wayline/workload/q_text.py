@@ -13,18 +13,21 @@ _HASH = "cast('0x' || substr(md5(cast({0} as varchar) || '||42'), 1, 15) as bigi
 
 
 @query("enrich_candidates", f"""
-with pool as (
-  select r.review_id, s.stay_booking_id, r.comment_text,
-    exists (select 1 from {{fct_legs_exact}} f where f.stay_booking_id = s.stay_booking_id and f.leg = 'outbound')
-      as with_flight
-  from {{fct_stay_exact}} s join {{stg_reviews}} r on r.review_id = s.review_id
-  where not s.is_cancelled and r.comment_length between 30 and 2000
-    and not exists (select 1 from {{enrichments}} e where e.review_id = r.review_id)),
-flown as (select * from pool where with_flight order by {_HASH.format('review_id')}, review_id, stay_booking_id
-          limit 100),
-others as (select * from pool where not with_flight order by {_HASH.format('review_id')}, review_id, stay_booking_id
-           limit (200 - (select count(*) from flown)))
-select * from flown union all select * from others""")
+with todo as (
+  select review_id, comment_text from {{stg_reviews}} anti join {{enrichments}} using (review_id)
+  where comment_length >= 30 and comment_length <= 2000),
+outbound as (select distinct stay_booking_id, true as flown from {{fct_legs_exact}} where leg = 'outbound'),
+stays as (
+  select review_id, stay_booking_id, coalesce(flown, false) as with_flight
+  from {{fct_stay_exact}} left join outbound using (stay_booking_id) where is_cancelled = false),
+drawn as (
+  select *, row_number() over (partition by with_flight order by {_HASH.format('review_id')}, review_id,
+    stay_booking_id) as turn
+  from stays join todo using (review_id)),
+ranked as (
+  select *, row_number() over (order by case when with_flight then 0 else 1 end, turn) as place
+  from drawn where turn <= case when with_flight then 100 else 200 end)
+select review_id, stay_booking_id, comment_text, with_flight from ranked where place <= 200""")
 def _(t):
     return job.enrich_candidates(t["fct_stay_bookings"], t["stg_reviews"], t["fct_flight_bookings"],
                                  t["enrichments"], 200)
@@ -37,7 +40,7 @@ select (n - 1) // 25 as batch_id, cast(count(*) as integer) as n_reviews,
   md5(string_agg('review_id: ' || cast(review_id as varchar) || chr(10) || 'text: ' || comment_text,
                  chr(10) || chr(10) order by n)) as payload_md5 from n group by 1""")
 def _(t):
-    batches = job.enrich_batch_payload(t["stg_reviews"].filter("comment_text is not null"))
+    batches = job.enrich_batch_payload(t["stg_reviews"])
     return batches.select("batch_id", "n_reviews", F.md5("payload").alias("payload_md5"))
 
 
@@ -94,20 +97,28 @@ def _(t):
     results = t["documents"].select(
         F.col("doc_id").alias("review_id"), F.lit(7).alias("quality"),
         F.when(F.col("doc_id") % 5 == 0, "timed out").alias("error"))
-    return job.enrich_failed_retry(results, t["labels"].select(F.col("doc_id").alias("review_id"), "quality"))
+    # a second record of every third id, later in order
+    again = results.filter("review_id % 3 = 0").withColumn("quality", F.lit(8))
+    return job.enrich_failed_retry(results.unionByName(again), t["labels"].select(
+        F.col("doc_id").alias("review_id"), "quality"), [F.col("quality")])
 
 
 @query("embed_candidates", f"""
-select r.review_id, r.listing_id, r.city, r.review_date, r.comment_text from {{stg_reviews}} r
-left join {{enrichments}} e on e.review_id = r.review_id
-where r.comment_length between 40 and 2000 and r.review_date >= date '2019-01-01'
-  and not exists (select 1 from {{embeddings}} x where x.vec_id = r.review_id)
-qualify row_number() over (partition by r.city order by e.review_id is null, {_HASH.format('r.review_id')},
-  r.review_id) <= greatest(1, 300 // (select count(distinct city) from {{stg_reviews}}))""")
+with quota as (select greatest(1, 300 // count(distinct city)) as each from {{stg_listings}}),
+recent as (
+  select review_id, listing_id, city, review_date, comment_text from {{stg_reviews}}
+  where comment_length >= 40 and comment_length <= 2000 and review_date >= date '2019-01-01'),
+todo as (
+  select r.* from recent r anti join (select vec_id as review_id from {{embeddings}}) using (review_id)),
+known as (select distinct review_id, 0 as late from {{enrichments}}),
+placed as (
+  select t.*, rank() over (partition by city order by coalesce(late, 1), {_HASH.format('t.review_id')}, t.review_id)
+    as place
+  from todo t left join known using (review_id))
+select p.review_id, p.listing_id, p.city, p.review_date, p.comment_text from placed p, quota where place <= each""")
 def _(t):
     embedded = t["embeddings"].select(F.col("vec_id").alias("review_id"))
-    n_cities = t["stg_reviews"].agg(F.countDistinct("city")).first()[0]
-    return job.embed_candidates(t["stg_reviews"], t["enrichments"], embedded, 300, n_cities)
+    return job.embed_candidates(t["stg_reviews"], t["enrichments"], embedded, 300, job.city_count(t["stg_listings"]))
 
 
 @query("embed_batches", """
@@ -153,14 +164,12 @@ def _(t):
 @query("rag_context", f"""
 with {_SCORED},
 lines as (select query_id, rank, '[' || cast(rank as varchar) || '] (' || city || ', ' || cast(review_date as varchar)
-            || ') ' || comment_text as line from hits join {{stg_reviews}} r on r.review_id = hits.id
-          where comment_text is not null)
-select query_id, cast(count(*) as integer) as n_hits,
-  md5(string_agg(line, chr(10) || chr(10) order by rank)) as context_md5 from lines group by 1""")
+            || ') ' || comment_text as line from hits left join {{stg_reviews}} r on r.review_id = hits.id)
+select query_id, cast(count(line) as integer) as n_hits,
+  md5(coalesce(string_agg(line, chr(10) || chr(10) order by rank), '')) as context_md5 from lines group by 1""")
 def _(t):
-    found = _search(t).withColumnRenamed("id", "review_id").join(
-        t["stg_reviews"].filter("comment_text is not null").select("review_id", "city", "review_date",
-                                                                   "comment_text"), "review_id")
+    texts = t["stg_reviews"].select("review_id", "city", "review_date", "comment_text")
+    found = _search(t).withColumnRenamed("id", "review_id").join(texts, "review_id", "left")
     return vectors.rag_context(found).select("query_id", "n_hits", F.md5("context").alias("context_md5"))
 
 
@@ -193,10 +202,10 @@ with s as (select doc_id, {_STATEMENTS} as stmt from {{documents}}),
 b as (select doc_id, regexp_replace(regexp_replace(regexp_replace(stmt, '^\\s+|\\s+$', '', 'g'), ';+$', ''),
         '^\\s+|\\s+$', '', 'g') as body from s),
 c as (select *, regexp_replace(body, '''(?:[^'']|'''')*''', '''''', 'g') as bare from b),
-r as (select *, case when contains(bare, ';') then 'Only a single statement is allowed.'
-    when not regexp_matches(bare, '^(select|with)\\b', 'i') then 'Only SELECT queries are allowed.'
+r as (select *, case when contains(bare, ';') then 'several_statements'
+    when not regexp_matches(bare, '^(select|with)\\b', 'i') then 'not_a_read'
     when regexp_matches(bare, '\\b({_WORDS})\\b', 'i') then
-      'Keyword not allowed: ' || upper(regexp_extract(bare, '\\b({_WORDS})\\b', 1, 'i')) end as reason from c)
+      'write_word:' || upper(regexp_extract(bare, '\\b({_WORDS})\\b', 1, 'i')) end as reason from c)
 select doc_id, reason, reason is null as ok, case when reason is null then md5(body) end as statement_md5 from r""")
 def _(t):
     rows = t["documents"].select("doc_id", F.expr(_SPARK_STATEMENTS).alias("stmt"))
