@@ -5,23 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import join_counted, row_key, stored
+from wayline.llm.common import WORD_GAP, join_counted, row_key, stored, word_count
 
 #: What stands for a variable field in a template.
 FIELD = "<*>"
 
 
-def tokens_of(line: Column) -> Column:
-    """Tokens of a line, those with a digit as variable fields."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(
-        line, "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+", FIELD)).otherwise(line)
-    return F.filter(F.split(masked, "[\\x20\\x09-\\x0D]+"), lambda t: t != "")
+#: Cells of the filter that picks the lines of open leaves from the scan; its size is bounded by this number.
+LEAF_CELLS = 1 << 20
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def plain_line(line: Column) -> Column:
+    """The tokens of a line joined by one space, those with a digit as variable fields."""
+    odd = line.startswith(" ") | line.endswith(" ")
+    for gap in ["\t", "\x0b", "\x0c", "\r", "  "]:
+        odd = odd | line.contains(gap)
+    spaced = F.when(odd, F.trim(F.regexp_replace(line, WORD_GAP, " "))).otherwise(line)
+    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(
+        spaced, "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+", FIELD)).otherwise(spaced)
+
+
+def _lines(docs: DataFrame, id_column: str, text_column: str, depth: int) -> DataFrame:
+    """key, at, plain, n (tokens), leaf, line (hash) of every line; no token array is built here."""
     rows = docs.select(row_key(F.col(id_column), F.col(text_column)).alias("key"),
                        F.posexplode(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n")).alias("at", "line"))
-    return rows.select("key", "at", tokens_of(F.col("line")).alias("tokens"))
+    plain = rows.select("key", "at", plain_line(F.col("line")).alias("plain")).filter("plain != ''")
+    n = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
+    return plain.select("key", "at", "plain", n.alias("n"),
+                        F.xxhash64(n, F.substring_index("plain", " ", depth)).alias("leaf"),
+                        F.xxhash64("plain").alias("line"))
 
 
 def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = 3,
@@ -34,36 +46,33 @@ def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     tokens behind the leading ones are constant and ``min_docs`` documents share the template, it recurs. A
     line that recurs as it stands needs no generalising. Lines under ``min_tokens`` tokens never recur.
 
-    Lines are counted as hashes, once per document. Tokens are laid out only for lines of leaves that several
-    different lines of enough documents share. Very frequent lines are joined by broadcasting their hashes.
+    Lines are counted as hashes, once per document. Only leaves that several different lines of enough
+    documents share are open to generalising; a broadcast set of at most ``LEAF_CELLS`` hash cells picks their
+    lines from the scan, which only then are spelled out, once each. Very frequent lines are joined by
+    broadcasting their hashes.
     """
-    n = F.size("tokens")
-    lead = F.array_join(F.slice("tokens", 1, depth), " ")
-    leaf = F.xxhash64(n, lead)
-    lines = stored(_lines(docs, id_column, text_column).filter(n >= min_tokens).select(
-        "key", "at", n.alias("words"), leaf.alias("leaf"), F.xxhash64(n, F.array_join("tokens", " ")).alias("line")),
-        "line-hashes")
+    lines = stored(_lines(docs, id_column, text_column, depth).filter(F.col("n") >= min_tokens).select(
+        "key", "at", F.col("n").alias("words"), "leaf", "line"), "line-hashes")
     # one row per document and line
     once = lines.select("key", "leaf", "line", "words").distinct()
     counted = stored(once.groupBy("leaf", "line", "words").agg(F.count(F.lit(1)).alias("docs")), "line-counts")
     same = counted.filter(F.col("docs") >= min_docs).select("line", "docs")
-    open_leaves = counted.filter(F.col("words") > depth).groupBy("leaf").agg(
-        F.sum("docs").alias("all"), F.count(F.lit(1)).alias("kinds"), F.max("docs").alias("most"),
-        F.min("docs").alias("least")).filter(
-        (F.col("all") >= min_docs) & (F.col("kinds") > 1) & (F.col("least") < min_docs)).select("leaf")
-    # the tokens of one text of every line in an open leaf, weighed by the line's documents
-    wanted = stored(counted.join(open_leaves, "leaf").select("line", "docs"), "line-open")
-    spelled = _lines(docs, id_column, text_column).filter(n > max(depth, min_tokens - 1)).select(
-        F.xxhash64(n, F.array_join("tokens", " ")).alias("line"), leaf.alias("leaf"), "tokens")
-    texts = stored(spelled.join(wanted, "line").groupBy("line", "leaf", "docs").agg(
-        F.first("tokens").alias("tokens")), "line-texts")
+    open_leaves = stored(counted.filter(F.col("words") > depth).groupBy("leaf").agg(
+        F.sum("docs").alias("all"), F.count(F.lit(1)).alias("kinds"), F.min("docs").alias("least")).filter(
+        (F.col("all") >= min_docs) & (F.col("kinds") > 1) & (F.col("least") < min_docs)).select("leaf"), "line-leaves")
+    cell = F.pmod(F.col("leaf"), F.lit(LEAF_CELLS)).alias("cell")
+    cells = open_leaves.select(cell).distinct()
+    spelled = _lines(docs, id_column, text_column, depth).filter(F.col("n") >= max(depth + 1, min_tokens)).withColumn(
+        "cell", cell).join(F.broadcast(cells), "cell", "left_semi")
+    wanted = counted.join(open_leaves, "leaf", "left_semi").select("line", "docs")
+    texts = stored(spelled.groupBy("line", "leaf").agg(F.first("plain").alias("plain")).join(wanted, "line").select(
+        "line", "leaf", "docs", F.split("plain", " ").alias("tokens")), "line-texts")
     laid = texts.select("line", "leaf", "docs", F.posexplode("tokens").alias("place", "token"))
     constant = laid.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("n")).filter(F.col("n") >= min_docs)
     fixed = laid.join(constant.select("leaf", "place", "token"), ["leaf", "place", "token"]).groupBy("line").agg(
         F.sort_array(F.collect_list(F.struct("place", "token"))).alias("fixed"))
     known = texts.join(fixed, "line").select(
-        "line", "leaf", "docs", F.size("tokens").alias("words"),
-        F.xxhash64(F.size("tokens"), "fixed").alias("template"),
+        "line", "leaf", "docs", F.size("tokens").alias("words"), F.xxhash64("fixed").alias("template"),
         F.size(F.filter("fixed", lambda f: f["place"] >= depth)).alias("same"))
     near = known.filter(F.col("same") >= F.lit(similarity) * (F.col("words") - depth))
     recurring = near.groupBy("leaf", "template").agg(F.sum("docs").alias("all")).filter(F.col("all") >= min_docs)
@@ -93,7 +102,7 @@ def drop_recurring_lines(docs: DataFrame, id_column: str = "doc_id", text_column
     joined = docs.withColumn("_own", key).join(places, F.col("_own") == F.col("_key"), "left")
     body = F.coalesce(F.col(text_column), F.lit(""))
     gone = F.aggregate("_places", F.lit(0), lambda total, p: total + p["words"])
-    words = F.size(tokens_of(body))
+    words = word_count(F.col(text_column))
     gone_at = F.when(F.col("_places").isNotNull() & (gone <= F.lit(max_loss) * words),
                      F.transform("_places", lambda p: p["at"]))
     kept = F.filter(F.split(body, "\n"), lambda x, i: ~F.array_contains("_gone_at", i))
