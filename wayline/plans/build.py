@@ -10,12 +10,18 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wayline.operators import checks
+from wayline.operators.travel import fx_daily_rates
+from wayline.operators.upsert import scd2_snapshot
 from wayline.plans import dims, facts, marts, staging
 from wayline.plans.quality import quality_report
-from wayline.sources.files import read_or_empty
 from wayline.sources.schemas import ENRICHMENT_TYPES
-from wayline.sources.sinks import layer_path, merge_into_partitions, read_mark
+from wayline.sources.sinks import layer_path, merge_into_partitions, read_mark, read_version, write_version
+
+# columns of a listing whose change opens a new validity row
+LISTING_CHECKS = ["price_local", "room_type", "accommodates", "minimum_nights", "is_superhost"]
 
 _STAGED = {"stg_listings": staging.stg_listings, "stg_calendar": staging.stg_calendar,
            "stg_reviews": staging.stg_reviews, "stg_airports": staging.stg_airports,
@@ -31,17 +37,26 @@ def _publish(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
           as_of: dt.date, enrichments: DataFrame | None = None,
-          calendar_range: tuple[dt.date, dt.date] = dims.SPINE) -> dict[str, DataFrame]:
+          calendar_range: tuple[dt.date, dt.date] = dims.SPINE, stop: bool = True) -> dict[str, DataFrame]:
     """Build every model below ``root`` and return the stored tables by name.
 
     ``raw`` holds the ten raw tables (text columns with ``_source_file`` and ``_loaded_at``), ``seeds``
-    the five lookup tables. ``enrichments`` defaults to an empty table.
+    the five lookup tables; instead of ``fx_rates_daily`` they may hold ``fx_quotes`` (day and one column per
+    currency, per unit of the pivot currency). ``enrichments`` defaults to the stored ones.
+
+    Listings also enter a validity history. The data tests are stored as ``checks``; with ``stop`` a failed
+    test of severity error ends the run with an AssertionError after that.
     """
     t: dict[str, DataFrame] = {name: df for name, df in seeds.items()}
+    if "fx_rates_daily" not in t:
+        quotes = seeds["fx_quotes"]
+        named = [c for c in quotes.columns if c not in ("day", "USD")]
+        t["fx_rates_daily"] = _publish(fx_daily_rates(quotes, "day", "USD", named), root, "staging", "fx_rates_daily")
     for name, fn in _STAGED.items():
         source = raw[name.removeprefix("stg_")]
         rows = fn(source, seeds["cities"]) if name == "stg_listings" else fn(source)
         t[name] = _publish(rows, root, "staging", name)
+    t["listing_history"] = snapshot_listings(t["stg_listings"], layer_path(root, "snapshots", "listings"), as_of)
 
     def fact(name: str, source: str, make) -> DataFrame:
         key, date, date_in_key = facts.FACT_KEYS[name]
@@ -51,7 +66,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
 
     t["fct_flights"] = fact("fct_flights", "flights", lambda r: facts.fct_flights(staging.stg_flights(r)))
     t["fct_stay_bookings"] = fact("fct_stay_bookings", "stay_bookings", lambda r: facts.fct_stay_bookings(
-        staging.stg_stay_bookings(r), seeds["fx_rates_daily"]))
+        staging.stg_stay_bookings(r), t["fx_rates_daily"]))
     t["fct_flight_bookings"] = fact("fct_flight_bookings", "flight_bookings",
                                     lambda r: facts.fct_flight_bookings(staging.stg_flight_bookings(r)))
 
@@ -62,13 +77,15 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
                                           seeds["city_airports"], seeds["airport_code_aliases"]),
         "dim_cities": dims.dim_cities(seeds["cities"], t["stg_countries"], seeds["city_airports"],
                                       t["stg_listings"]),
-        "dim_listings": dims.dim_listings(t["stg_listings"], seeds["fx_rates_daily"]),
+        "dim_listings": dims.dim_listings(t["stg_listings"], t["fx_rates_daily"]),
         "dim_users": dims.dim_users(t["stg_users"], seeds["city_airports"], as_of)}
     for name, df in made.items():
         t[name] = _publish(df, root, "dimensions", name)
 
-    t["review_enrichments"] = enrichments if enrichments is not None else read_or_empty(
-        spark, layer_path(root, "ai", "review_enrichments"), ENRICHMENT_TYPES)
+    t["review_enrichments"] = enrichments
+    if enrichments is None:
+        stored = read_version(spark, layer_path(root, "ai", "review_enrichments"))
+        t["review_enrichments"] = spark.createDataFrame([], ENRICHMENT_TYPES) if stored is None else stored
     reports = {
         "mart_airline_performance": marts.mart_airline_performance(t["fct_flights"], t["dim_airlines"],
                                                                    t["dim_airports"]),
@@ -83,9 +100,27 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
     for name, df in reports.items():
         t[name] = _publish(df, root, "ai" if name in ("mart_review_insights", "mart_delay_impact") else "business",
                            name)
+    facts_of = {"flights": (staging.stg_flights(raw["flights"]), "flight_id", t["fct_flights"]),
+                "stay_bookings": (raw["stay_bookings"], "stay_booking_id", t["fct_stay_bookings"]),
+                "flight_bookings": (raw["flight_bookings"], "flight_booking_id", t["fct_flight_bookings"])}
+    reconciled = checks.check_severity_warn("facts reconcile with raw", checks.check_reconcile(facts_of), "error")
+    t["checks"] = _publish(check(t).unionByName(reconciled), root, "checks", "report")
+    if stop:
+        checks.assert_passed(t["checks"])
     return t
 
 
+def snapshot_listings(listings: DataFrame, path: str, as_of: dt.date) -> DataFrame:
+    """Next version of the listings' validity history: changes of the checked columns, vanished listings."""
+    spark = listings.sparkSession
+    current = listings.select("listing_id", *LISTING_CHECKS)
+    history = read_version(spark, path)
+    if history is None:
+        unknown = F.lit(None).cast("date")
+        history = current.limit(0).withColumns({"valid_from": unknown, "valid_to": unknown})
+    return write_version(scd2_snapshot(history, current, "listing_id", LISTING_CHECKS, as_of), path)
+
+
 def check(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The data tests over the tables of a build."""
     return quality_report(tables)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+class Folder(NamedTuple):
+    name: str
+
+
+def list_folders(spark: SparkSession, path: str) -> list[Folder]:
+    """Folders directly below a path (a table's versions: a handful)."""
+    files, folder = _file_system(spark, path)
+    return [Folder(status.getPath().getName()) for status in files.listStatus(folder) if status.isDirectory()]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     files, folder = _file_system(spark, path)
     files.delete(folder, True)

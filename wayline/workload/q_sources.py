@@ -103,16 +103,28 @@ def _(t):
 
 
 @query("load_manifest", """
-select 'reviews/' || source as path, count(*) as rows, 'now' as source from {documents} group by source
-union all select 'labels/' || cast(quality as varchar), count(*), 'before' from {labels} group by quality""")
-def _(t):
-    now = t["documents"].groupBy(F.concat(F.lit("reviews/"), "source").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit("now"))
+select 'reviews/' || source as folder, 'reviews' as source, 'open' as license, count(*) as rows, true as has_bytes
+from {documents} group by 1
+union all select 'labels/' || cast(quality as varchar), 'before', 'none', count(*), false from {labels} group by 1""")
+def _(t):
+    root = scratch_path(t.spark, "exports")
+    (t["documents"].select("doc_id", F.col("lang").alias("a"), F.col("n_chars").alias("b"), "source").repartition(
+        "source").write.partitionBy("source").options(header="true", compression="gzip").csv(f"{root}/reviews"))
+    scan = t.spark.read.option("header", "true").schema("doc_id string, a string, b string").csv(
+        f"{root}/reviews/source=*")
+    listed = files.file_row_counts(scan, "reviews", "open")
     gone = t["documents"].groupBy(F.concat(F.lit("reviews/old-"), "lang").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit("before"))
+        F.count(F.lit(1)).alias("rows")).withColumns({"source": F.lit("before"), "license": F.lit("none")})
     kept = t["labels"].groupBy(F.concat(F.lit("labels/"), F.col("quality").cast("string")).alias("path")).agg(
-        F.count(F.lit(1)).alias("rows")).withColumn("source", F.lit("before"))
-    return files.load_manifest(now, gone.unionByName(kept), prefix="reviews/")
+        F.count(F.lit(1)).alias("rows")).withColumns({"source": F.lit("before"), "license": F.lit("none")})
+    found = F.regexp_extract("path", "(reviews/)source=([^/]+)/", 2)
+    made = files.load_manifest(listed.withColumn("path", F.regexp_replace("path", "^.*/exports[^/]*/", "")),
+                               gone.unionByName(kept), prefix="reviews/")
+    # a source may lie in several files: their names are Spark's own, so they are added up by folder
+    return made.groupBy(F.when(found != "", F.concat(F.lit("reviews/"), found)).otherwise(F.col("path")).alias("folder"),
+                        "source", "license").agg(F.sum("rows").alias("rows"),
+                                                 (F.sum("bytes") > 0).alias("has_bytes")).withColumn(
+        "has_bytes", F.coalesce("has_bytes", F.lit(False)))
 
 
 @query("seed_read", "select city, city_name, country_code, currency_code, is_us from {cities}")

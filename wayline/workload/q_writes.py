@@ -41,31 +41,44 @@ def _(t):
 
 
 _SCD = """
-with v as (select p_partkey as k, p_size as size_before, nullif(p_type, 'SMALL') as kind_before,
-    case when p_partkey % 3 = 0 then p_size + 1 else p_size end as size_after,
-    case when p_partkey % 7 = 0 then 'SMALL' else nullif(p_type, 'SMALL') end as kind_after from {part}),
-w as (select *, size_before is distinct from size_after or kind_before is distinct from kind_after as changed from v)
-select k, size_before as p_size, kind_before as kind, date '2024-01-01' as valid_from, date '2024-02-01' as valid_to
-  from w where k % 10 <> 9 and (k % 10 = 8 or changed)
-union all select k, size_before, kind_before, date '2024-01-01', null from w where k % 10 not in (8, 9) and not changed
-union all select k, size_after, kind_after, date '2024-02-01', null from w
-  where k % 10 = 9 or (k % 10 <> 8 and changed)
-union all select k, size_after, kind_after, date '2024-03-01', null from w where k % 10 = 8"""
+with v as (
+  select listing_id as k, price_local::double as old_price, room_type as old_kind, is_superhost, accommodates,
+    minimum_nights, case when listing_id % 3 = 0 then old_price + 1 else old_price end as new_price,
+    case when listing_id % 7 = 0 then 'Hotel room' else room_type end as new_kind
+  from {stg_listings}),
+w as (
+  select *, k % 10 as g, old_price is distinct from new_price or old_kind is distinct from new_kind as moved from v),
+spans as (
+  select *, unnest(case
+    when g = 9 then [struct_pack(new := true, since := date '2024-02-01', until := null::date)]
+    when g = 8 then [struct_pack(new := false, since := date '2024-01-01', until := date '2024-02-01'),
+                     struct_pack(new := true, since := date '2024-03-01', until := null::date)]
+    when moved then [struct_pack(new := false, since := date '2024-01-01', until := date '2024-02-01'),
+                     struct_pack(new := true, since := date '2024-02-01', until := null::date)]
+    else [struct_pack(new := false, since := date '2024-01-01', until := null::date)] end) as span
+  from w)
+select k, case when span.new then new_price else old_price end as price_local,
+  case when span.new then new_kind else old_kind end as room_type, accommodates, minimum_nights, is_superhost,
+  span.since as valid_from, span.until as valid_to
+from spans"""
 
 
 @query("scd2_snapshot", _SCD)
 def _(t):
-    key, kind = F.col("p_partkey"), F.nullif("p_type", F.lit("SMALL"))
-    before = t["part"].select(key.alias("k"), "p_size", kind.alias("kind"))
-    after = t["part"].select(key.alias("k"), F.when(key % 3 == 0, F.col("p_size") + 1).otherwise(
-        F.col("p_size")).alias("p_size"), F.when(key % 7 == 0, "SMALL").otherwise(kind).alias("kind"))
+    checked = ["price_local", "room_type", "accommodates", "minimum_nights", "is_superhost"]
+    k = F.col("k")
+    before = t["stg_listings"].select(F.col("listing_id").alias("k"), *checked)
+    after = before.withColumns({
+        "price_local": F.when(k % 3 == 0, F.col("price_local") + 1).otherwise(F.col("price_local")).cast(
+            before.schema["price_local"].dataType),
+        "room_type": F.when(k % 7 == 0, "Hotel room").otherwise(F.col("room_type"))})
     empty = before.limit(0).withColumns({"valid_from": F.lit(None).cast("date"), "valid_to": F.lit(None).cast("date")})
     # one group appears late, one vanishes and returns; one snapshot is taken twice
     days = [(dt.date(2024, 1, 1), before.filter("k % 10 <> 9")), (dt.date(2024, 2, 1), after.filter("k % 10 <> 8")),
             (dt.date(2024, 2, 15), after.filter("k % 10 <> 8")), (dt.date(2024, 3, 1), after)]
     history = empty
     for day, snapshot in days:
-        history = upsert.scd2_snapshot(history, snapshot, "k", ["p_size", "kind"], day)
+        history = upsert.scd2_snapshot(history, snapshot, "k", checked, day)
     return history
 
 
@@ -164,13 +177,15 @@ def _(t):
 
 
 @query("check_reconcile", """
-select 'stay_bookings' as tbl, (select count(distinct stay_booking_id) from {raw_stay_bookings}) as raw_ids,
-  (select count(*) from {stg_stay_bookings}) as fact_rows union all
+select 'flights' as tbl, (select count(distinct flight_id) from {stg_flights}) as raw_ids,
+  (select count(*) from {fct_flights}) as fact_rows union all
+select 'stay_bookings', (select count(distinct stay_booking_id) from {raw_stay_bookings}),
+  (select count(*) from {fct_stay_exact}) union all
 select 'flight_bookings', (select count(distinct flight_booking_id) from {raw_flight_bookings}),
-  (select count(*) from {stg_flight_bookings}) union all
-select 'lines', (select count(distinct l_orderkey) from {lineitem}), (select count(*) from {orders})""")
+  (select count(*) from {fct_legs_exact})""")
 def _(t):
     return checks.check_reconcile({
-        "stay_bookings": (t["raw_stay_bookings"], "stay_booking_id", t["stg_stay_bookings"]),
-        "flight_bookings": (t["raw_flight_bookings"], "flight_booking_id", t["stg_flight_bookings"]),
-        "lines": (t["lineitem"], "l_orderkey", t["orders"])}, only_failures=False)
+        "flights": (t["stg_flights"], "flight_id", t["fct_flights"]),
+        "stay_bookings": (t["raw_stay_bookings"], "stay_booking_id", t["fct_stay_bookings"]),
+        "flight_bookings": (t["raw_flight_bookings"], "flight_booking_id", t["fct_flight_bookings"])},
+        only_failures=False)

@@ -377,11 +377,11 @@ def _models():
         "fct_flights": (facts.fct_flights, ["stg_flights"]),
         "fct_stay_bookings": (facts.fct_stay_bookings, ["stg_stay_bookings", "fx_rates"]),
         "fct_flight_bookings": (facts.fct_flight_bookings, ["stg_flight_bookings"]),
-        "mart_airline_performance": (marts.mart_airline_performance, ["fct_flights", "dim_airlines", "dim_airports"]),
+        "mart_airline_performance": (marts.mart_airline_performance, ["fct_flights", "airlines", "dim_airports"]),
         "mart_city_revenue": (marts.mart_city_revenue, ["fct_stay_bookings", "dim_listings"]),
         "mart_forward_occupancy": (marts.mart_forward_occupancy, ["stg_calendar", "dim_listings"]),
         "mart_traveler_disruption": (marts.mart_traveler_disruption,
-                                     ["fct_flight_bookings", "fct_flights", "dim_airlines"]),
+                                     ["fct_flight_bookings", "fct_flights", "airlines"]),
         "mart_user_cohorts": (marts.mart_user_cohorts, ["fct_stay_bookings"]),
         "mart_review_insights": (marts.mart_review_insights, ["enrichments", "stg_reviews"]),
         "mart_delay_impact": (marts.mart_delay_impact, ["fct_stay_bookings", "fct_flight_bookings", "fct_flights",
