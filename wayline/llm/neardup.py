@@ -255,8 +255,8 @@ def _verify(weights: Broadcast, threshold: float):
                     for x, y in zip(first, second):
                         (s, v), (t, w) = known[x], known[y]
                         _, at_s, at_t = np.intersect1d(s, t, assume_unique=True, return_indices=True)
-                        shared = np.minimum(v[at_s], w[at_t]).sum()
-                        similarity = float(shared / (v.sum() + w.sum() - shared))
+                        both = np.minimum(v[at_s], w[at_t]).sum()
+                        similarity = float(both / (v.sum() + w.sum() - both))
                         if similarity >= threshold:
                             yield x, y, similarity
 
