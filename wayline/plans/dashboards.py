@@ -94,8 +94,7 @@ def dash_occupancy_grid(occupancy: DataFrame, cities: DataFrame, months: int = G
     rows = occupancy.join(cities.select("city", "city_name"), "city").groupBy(
         F.col("city_name").alias("city"), F.date_format("month", "yyyy-MM").alias("ym")).agg(
         agg_safe_ratio(F.sum("unavailable_nights"), F.sum("listing_nights"), 6).alias("proxy"))
-    names = [r[0] for r in occupancy.select(F.date_format("month", "yyyy-MM").alias("ym")).distinct()
-             .orderBy("ym").limit(skip + months).collect()]
+    names = [r[0] for r in rows.select("ym").distinct().orderBy("ym").limit(skip + months).collect()]
     grid = pivot_matrix(rows, "city", "ym", names[skip:], "proxy")
     return grid.orderBy(F.col("row_mean").asc_nulls_last(), "city")
 

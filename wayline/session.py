@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,7 @@ def build_session(app: str = "wayline", master: str | None = None, **extra: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch folder only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``; in local mode a scratch folder that goes at exit."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -37,7 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = os.path.join(tempfile.mkdtemp(prefix="wayline-"), "checkpoints")
+        folder = tempfile.mkdtemp(prefix="wayline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        configured = os.path.join(folder, "checkpoints")
     context.setCheckpointDir(configured)
     return configured
 

@@ -204,7 +204,7 @@ VIEWS["raw_calendar"] = """
 select
   'NATION_' || cast(e.user_id % 25 as string) as city,
   case when e.event_id % 2 = 0 then '2024-01-01' else '2024-02-01' end as snapshot_date,
-  cast(e.user_id as string) as listing_id, cast(cast(e.ts as date) as string) as calendar_date,
+  cast(e.user_id as string) as listing_id, cast(cast(e.ts as date) + cast(31 * (e.event_id % 13) as int) as string) as calendar_date,
   case when e.event_type in ('error', 'purchase') then 'f' else 't' end as available,
   cast(1 + e.event_id % 5 as string) as minimum_nights, '365' as maximum_nights,
   'calendar' as _source_file, cast('2024-02-02' as date) as _loaded_at
