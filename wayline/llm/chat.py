@@ -13,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayline.llm.common import arrow_type
+
 #: Where the public vocabulary of the default tokenizer lies; a parameter of every function below.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the public splitting pattern of byte-level BPE vocabularies of this kind.
@@ -168,22 +170,20 @@ def format_conversations(turns: DataFrame, vocabulary: Broadcast, conv: str = "c
     """
     id_type = turns.schema[conv].dataType.simpleString()
     turn_type = turns.schema[turn].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    if id_type not in arrow or turn_type not in arrow:
-        raise TypeError("conversation ids and turns are int, long or string")
+    id_arrow, turn_arrow = arrow_type(turns, conv), arrow_type(turns, turn)
     plain = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
                          F.col(text).alias("text"),
                          F.concat_ws("\n", F.coalesce(role, F.lit("")), F.coalesce(text, F.lit(""))).alias("order_text"))
     encoded = plain.mapInArrow(
         _encode_rows(vocabulary, pa.schema([
-            ("conv_id", arrow[id_type]), ("turn", arrow[turn_type]), ("order_text", pa.string()),
+            ("conv_id", id_arrow), ("turn", turn_arrow), ("order_text", pa.string()),
             ("tokens", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])),
         f"conv_id {id_type}, turn {turn_type}, order_text string, tokens array<int>, loss_mask array<tinyint>")
     dealt = encoded.repartition("conv_id").sortWithinPartitions(
         F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "order_text").drop("order_text")
     return dealt.mapInArrow(
         _place_turns(pa.schema([
-            ("conv_id", arrow[id_type]), ("turn", arrow[turn_type]), ("seq", pa.int64()), ("token_start", pa.int64()),
+            ("conv_id", id_arrow), ("turn", turn_arrow), ("seq", pa.int64()), ("token_start", pa.int64()),
             ("tokens", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])),
         f"conv_id {id_type}, turn {turn_type}, seq long, token_start long, tokens array<int>, loss_mask array<tinyint>")
 
@@ -234,8 +234,7 @@ def conversation_digests(formatted: DataFrame, vocabulary: Broadcast) -> DataFra
     an escape out of two texts. One running state per conversation, no matter how many turns it has.
     """
     field = formatted.schema["conv_id"].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[field]
-    schema = pa.schema([("conv_id", kind), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+    schema = pa.schema([("conv_id", arrow_type(formatted, "conv_id")), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
                         ("n_tokens", pa.int64())])
     return formatted.mapInArrow(_digests(vocabulary, schema),

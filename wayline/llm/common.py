@@ -9,6 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from wayline.session import scratch_path
 
@@ -32,6 +33,11 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    """The Arrow type a column has inside ``mapInArrow``."""
+    return to_arrow_type(df.schema[column].dataType)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

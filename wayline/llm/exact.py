@@ -73,7 +73,7 @@ def _merge_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from arrow_batches(((s, b.tobytes()) for s, b in twice.items() if b.any()), schema)
 
 
-def _probe(filters, segments: int, schema: pa.Schema):
+def _probe(filters, segments: int):
     """Second pass: may the row's hash occur in another row?"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +84,7 @@ def _probe(filters, segments: int, schema: pa.Schema):
             segment, places = _places(_words(batch.column(batch.schema.get_field_index("sha"))), segments)
             at = segment[:, None] * SEGMENT_BITS + places
             maybe = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(maybe)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(maybe)], names=[*batch.schema.names, "maybe"])
 
     return run
 
@@ -123,13 +123,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     narrow = stored(docs.select(F.col(id_column).alias("doc_id"), F.unhex(F.sha2(plain, 256)).alias("sha"),
                                 F.monotonically_increasing_id().alias("row")), "exact-hashes")
     bits, segments = repeat_filter(narrow.select("sha"), narrow.count(), bits_per_row, max_filter_bytes)
-    id_type = narrow.schema["doc_id"].dataType
-    arrow = pa.schema([("doc_id", pa.int64() if id_type.typeName() == "long" else pa.string()), ("sha", pa.binary()),
-                       ("row", pa.int64()), ("maybe", pa.bool_())])
-    if id_type.typeName() not in ("long", "string"):
-        raise TypeError("ids are long or string")
-    probed = narrow.mapInArrow(_probe(spark.sparkContext.broadcast(bits), segments, arrow),
-                               f"doc_id {id_type.simpleString()}, sha binary, row long, maybe boolean")
+    id_type = narrow.schema["doc_id"].dataType.simpleString()
+    probed = narrow.mapInArrow(_probe(spark.sparkContext.broadcast(bits), segments),
+                               f"doc_id {id_type}, sha binary, row long, maybe boolean")
     maybe = stored(probed.filter("maybe"), "exact-maybe")
     groups = stored(maybe.groupBy("sha").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"),

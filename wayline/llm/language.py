@@ -161,7 +161,7 @@ def fit_language_model(docs: DataFrame, trains: Column, id_column: str = "doc_id
     return LanguageModel(languages, classes, grams, presence[chosen].astype(np.uint8), sizes[chosen], root @ weights)
 
 
-def _predict(model: Broadcast, extra: int, schema: pa.Schema, block: int = 256):
+def _predict(model: Broadcast, extra: int, block: int = 256):
     """Append (lang_pred, score) to the first ``extra`` columns; the last column is the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +190,7 @@ def _predict(model: Broadcast, extra: int, schema: pa.Schema, block: int = 256):
                 names = [m.languages[b] if s else UNDETERMINED for b, s in zip(best.tolist(), sizes.tolist())]
                 score = np.where(sizes > 0, np.clip(score, 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays([*part.columns[:extra], pa.array(names), pa.array(score)],
-                                                 schema=schema)
+                                                 names=[*part.schema.names[:extra], "lang", "score"])
 
     return run
 
@@ -200,19 +200,15 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, keep: list[st
     """The columns ``keep`` with the predicted language and its score, from the whole text alone.
 
     The score is the language's share of all positive outputs. A NULL text, one without letters, and any text
-    when nothing was learned are ``und`` with score 0. Ties go to the first name. ``keep`` columns must be
-    int, long, string, boolean or double; others are not read.
+    when nothing was learned are ``und`` with score 0. Ties go to the first name. Columns not in ``keep`` are not
+    read.
     """
     if model is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias(as_names[0]), F.lit(0.0).alias(as_names[1]))
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
-             "double": pa.float64()}
     types = [docs.schema[c].dataType.simpleString() for c in keep]
-    schema = pa.schema([*[(f"c{i}", kinds[t]) for i, t in enumerate(types)], ("lang", pa.string()),
-                        ("score", pa.float64())])
     ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double"])
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_column).alias("text"))
-    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep), schema), ddl)
+    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep)), ddl)
     return scored.toDF(*keep, *as_names)
 
 

@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, mix, row_key, slices, stored,
+from wayline.llm.common import (arrow_batches, arrow_type, byte_texts, chunked, inside_texts, mix, row_key, slices, stored,
                                 window_hashes, word_hashes)
 
 #: Units that make a slot behind a number, and number words.
@@ -167,9 +167,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
              .distinct().collect()]
     sizes = sorted({window, *short})
     kind = benchmark.schema[item_column].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     items = benchmark.select(F.col(item_column).alias("item_id"), F.col(item_text_column).alias("text")).mapInArrow(
-        _window_rows(1, sizes, None, pa.schema([("item_id", arrow[kind]), *_WINDOW_ARROW])),
+        _window_rows(1, sizes, None, pa.schema([("item_id", arrow_type(benchmark, item_column)), *_WINDOW_ARROW])),
         f"item_id {kind}, {_WINDOW}")
     items = stored(items.filter((F.col("words") == F.col("size")) | (F.col("size") == window)).distinct(),
                    "benchmark-windows")
@@ -186,7 +185,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                         F.col(text_column).alias("text"))
     found = ready.mapInArrow(
         _window_rows(2, sizes, spark.sparkContext.broadcast(bits.tobytes()),
-                     pa.schema([("key", pa.binary()), ("doc_id", arrow[id_type]), *_WINDOW_ARROW])),
+                     pa.schema([("key", pa.binary()), ("doc_id", arrow_type(docs, id_column)), *_WINDOW_ARROW])),
         f"key binary, doc_id {id_type}, {_WINDOW}")
     d, i = found.alias("d"), items.alias("i")
     pairs = stored(d.join(i, (F.col("d.hash") == F.col("i.hash")) & (F.col("d.window") == F.col("i.window"))

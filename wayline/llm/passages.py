@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import (arrow_batches, byte_texts, chunked, inside_texts, pack, row_key, slices, unpack,
+from wayline.llm.common import (arrow_batches, arrow_type, byte_texts, chunked, inside_texts, pack, row_key, slices, unpack,
                                 window_hashes, word_bounds, word_hashes)
 
 #: Words whose hash may become a window's minimiser.
@@ -339,13 +339,10 @@ def drop_repeated_passages(docs: DataFrame, n: int = 35, id_column: str = "doc_i
     their own, so their windows repeat. Rows with equal id and text get equal results, which is why spans are
     kept by a hash of both. NULL ids are allowed; other columns are not read; empty tables give empty tables.
     """
-    named = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     id_type = docs.schema[id_column].dataType.simpleString()
-    if id_type not in named:
-        raise TypeError("ids are int, long or string")
     keyed = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
                         row_key(F.col(id_column), F.col(text_column)).alias("key"))
     spans = repeated_spans(keyed, n).groupBy("key").agg(
         F.collect_set(F.struct("first", "last")).alias("spans"))
     return keyed.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(
-        _cut(n, named[id_type]), f"doc_id {id_type}, n_words long, n_removed long, kept_text string")
+        _cut(n, arrow_type(docs, id_column)), f"doc_id {id_type}, n_words long, n_removed long, kept_text string")

@@ -12,7 +12,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import MASK64, arrow_batches, byte_texts, mix, pack, slices, stored, unpack
+from wayline.llm.common import MASK64, arrow_batches, arrow_type, byte_texts, mix, pack, slices, stored, unpack
 
 #: The end of a text as a token; it holds a separator, so no word can be equal to it.
 END = b"\n"
@@ -314,10 +314,7 @@ def score_texts(docs: DataFrame, trains: Column, held_out: Column, id_column: st
     entry per chunk. Only the filter, bounded by ``max_filter_bytes``, is gathered and broadcast.
     """
     spark = docs.sparkSession
-    kinds_of = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     id_type = docs.schema[id_column].dataType.simpleString()
-    if id_type not in kinds_of:
-        raise TypeError("ids are int, long or string")
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(trains, F.lit(False)).alias("trains"),
                         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_column).alias("text"))
@@ -327,7 +324,7 @@ def score_texts(docs: DataFrame, trains: Column, held_out: Column, id_column: st
                     "lm-counts", "kind")
     sums = merged.filter("kind = 'sums'").agg(F.sum("n").alias("kinds"), F.sum("total").alias("total")).first()
     pairs = build_filter(merged.filter("kind = 'grams'"), buckets, min_count, max_filter_bytes)
-    schema = pa.schema([("doc_id", kinds_of[id_type]), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+    schema = pa.schema([("doc_id", arrow_type(docs, id_column)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                         ("score", pa.float64())])
     met = merged.filter("kind = 'known'").select("kind", "chunk", "bucket", "data").unionByName(
