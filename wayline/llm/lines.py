@@ -17,23 +17,28 @@ LEAF_CELLS = 1 << 20
 
 def plain_line(line: Column) -> Column:
     """The tokens of a line joined by one space, those with a digit as variable fields."""
-    odd = line.startswith(" ") | line.endswith(" ")
-    for gap in ["\t", "\x0b", "\x0c", "\r", "  "]:
-        odd = odd | line.contains(gap)
-    spaced = F.when(odd, F.trim(F.regexp_replace(line, WORD_GAP, " "))).otherwise(line)
-    return F.when(spaced.rlike("[0-9]"), F.regexp_replace(
-        spaced, "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+", FIELD)).otherwise(spaced)
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ") | line.rlike("[\\x09-\\x0D]")
+    return _masked(F.when(odd, F.trim(F.regexp_replace(line, WORD_GAP, " "))).otherwise(line))
+
+
+def _masked(line: Column) -> Column:
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(
+        line, "[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+", FIELD)).otherwise(line)
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str, depth: int) -> DataFrame:
-    """key, at, plain, n (tokens), leaf, line (hash) of every line; no token array is built here."""
+    """key, at, plain, words, leaf, line (hash) of every line.
+
+    Lines are made plain inside the array, before it is laid out: what follows then reads a column instead of
+    computing the line anew for every use.
+    """
+    plain = F.transform(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n"), plain_line)
     rows = docs.select(row_key(F.col(id_column), F.col(text_column)).alias("key"),
-                       F.posexplode(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n")).alias("at", "line"))
-    plain = rows.select("key", "at", plain_line(F.col("line")).alias("plain")).filter("plain != ''")
-    n = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
-    return plain.select("key", "at", "plain", n.alias("n"),
-                        F.xxhash64(n, F.substring_index("plain", " ", depth)).alias("leaf"),
-                        F.xxhash64("plain").alias("line"))
+                       F.posexplode(plain).alias("at", "plain")).filter("plain != ''")
+    words = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
+    return rows.select("key", "at", "plain", words.alias("words"),
+                       F.xxhash64(words, F.substring_index("plain", " ", depth)).alias("leaf"),
+                       F.xxhash64("plain").alias("line"))
 
 
 def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = 3,
@@ -48,11 +53,10 @@ def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Lines are counted as hashes, once per document. Only leaves that several different lines of enough
     documents share are open to generalising; a broadcast set of at most ``LEAF_CELLS`` hash cells picks their
-    lines from the scan, which only then are spelled out, once each. Very frequent lines are joined by
+    lines from the stored ones, which only then are spelled out, once each. Very frequent lines are joined by
     broadcasting their hashes.
     """
-    lines = stored(_lines(docs, id_column, text_column, depth).filter(F.col("n") >= min_tokens).select(
-        "key", "at", F.col("n").alias("words"), "leaf", "line"), "line-hashes")
+    lines = stored(_lines(docs, id_column, text_column, depth).filter(F.col("words") >= min_tokens), "lines")
     # one row per document and line
     once = lines.select("key", "leaf", "line", "words").distinct()
     counted = stored(once.groupBy("leaf", "line", "words").agg(F.count(F.lit(1)).alias("docs")), "line-counts")
@@ -62,8 +66,8 @@ def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         (F.col("all") >= min_docs) & (F.col("kinds") > 1) & (F.col("least") < min_docs)).select("leaf"), "line-leaves")
     cell = F.pmod(F.col("leaf"), F.lit(LEAF_CELLS)).alias("cell")
     cells = open_leaves.select(cell).distinct()
-    spelled = _lines(docs, id_column, text_column, depth).filter(F.col("n") >= max(depth + 1, min_tokens)).withColumn(
-        "cell", cell).join(F.broadcast(cells), "cell", "left_semi")
+    spelled = lines.filter(F.col("words") > depth).select("leaf", "line", "plain", cell).join(
+        F.broadcast(cells), "cell", "left_semi")
     wanted = counted.join(open_leaves, "leaf", "left_semi").select("line", "docs")
     texts = stored(spelled.groupBy("line", "leaf").agg(F.first("plain").alias("plain")).join(wanted, "line").select(
         "line", "leaf", "docs", F.split("plain", " ").alias("tokens")), "line-texts")
