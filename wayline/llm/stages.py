@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from wayline.llm import language, leaks, lines, mixing, neardup
 from wayline.llm.common import row_key, table
 
-#: Documents whose language scores below this are rejected, like those without a letter.
-MIN_LANGUAGE_SCORE = 0.4
+#: Documents whose language scores below this are rejected, like those without a letter. Short clean texts
+#: score near 0.4, texts of one repeated syllable below 0.3.
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
