@@ -21,12 +21,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(
             F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = stored(labels.join(near, "node").select(
-            "node", F.least("label", "near").alias("label"), F.col("label").alias("old")), "labels")
-        jumped = stored(lower.join(
-            lower.select(F.col("node").alias("label"), F.col("label").alias("further")), "label").select(
-            "node", F.least("label", "further").alias("label"), "old"), "labels")
-        changed = jumped.filter("label != old").limit(1).count()
-        labels = jumped.select("node", "label")
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        lower = stored(labels.join(further, "label").join(near, "node").select(
+            "node", F.least("label", "near", "further").alias("label"), F.col("label").alias("old")), "labels")
+        changed = lower.filter("label != old").limit(1).count()
+        labels = lower.select("node", "label")
         if not changed:
             return labels

@@ -23,7 +23,9 @@ CELLS = 1 << 21
 SEGMENT = 1 << 16
 DRAWS = 1 << 16
 CANDIDATE_BITS = 1 << 25
-BLOCK = 256
+#: Texts of one block; a cell compares two blocks of a bucket.
+BLOCK = 512
+_COLUMNS = 2048
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -265,35 +267,99 @@ def _verify(weights: Broadcast, threshold: float):
     return run
 
 
-def _agreeing(least: int):
-    """Rows sorted by cell (band, i, j): pairs of different components whose samples agree in ``least`` places."""
+def cell_links(texts: Sequence[bytes], labels: Sequence[int], left: np.ndarray, right: np.ndarray, weights: Weights,
+               threshold: float) -> Iterator[tuple[int, int]]:
+    """Pairs (one of ``left``, one of ``right``) of different labels at or above the threshold, without those whose
+    labels earlier pairs have joined already: fewer pairs than texts come out.
+
+    The shared weight of all pairs is a product of matrices over the shingles that two texts have; repeated
+    shingles count as first, second and so on. Pairs too near the threshold for its precision are counted anew.
+    """
+    owner, keys, values, own = [], [], [], []
+    for a, b in parts(texts):
+        text, shingles, counts = shingle_counts(texts[a:b])
+        single = shingle_weights(shingles, np.ones(len(counts)), weights)
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        owner.append(np.repeat(text, counts) + a)
+        keys.append(mix(np.repeat(shingles, counts) + nth.astype(np.uint64) * np.uint64(_STEP)))
+        values.append(np.repeat(single, counts))
+    owner, keys, values = np.concatenate(owner), np.concatenate(keys), np.concatenate(values)
+    total = np.bincount(owner, values, minlength=len(texts))
+    _, column, times = np.unique(keys, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    renumber = np.cumsum(times > 1) - 1
+    row, column, root = owner[shared], renumber[column[shared]], np.sqrt(values[shared]).astype(np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column, root = row[order], column[order], root[order]
+    common_weight = np.zeros((len(left), len(right)), dtype=np.float32)
+    cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + _COLUMNS + 1, _COLUMNS))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if a < b:
+            block = np.zeros((len(texts), _COLUMNS), dtype=np.float32)
+            block[row[a:b], column[a:b] % _COLUMNS] = root[a:b]
+            common_weight += block[left] @ block[right].T
+    similar = common_weight / (total[left][:, None] + total[right][None, :] - common_weight)
+    labels = np.asarray(labels)
+    near = (similar >= threshold - 1e-3) & (labels[left][:, None] != labels[right][None, :])
+    joined: dict[int, int] = {}
+
+    def find(label: int) -> int:
+        while label in joined:
+            label = joined[label]
+        return label
+
+    exact = [None] * len(texts)
+    by_text = np.argsort(owner, kind="stable")
+    bounds = np.searchsorted(owner[by_text], np.arange(len(texts) + 1))
+
+    def entries(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if exact[i] is None:
+            at = by_text[bounds[i]:bounds[i + 1]]
+            at = at[np.argsort(keys[at])]
+            exact[i] = keys[at], values[at]
+        return exact[i]
+
+    for i, j in zip(*np.nonzero(near)):
+        x, y = int(left[i]), int(right[j])
+        one, other = find(int(labels[x])), find(int(labels[y]))
+        if one == other:
+            continue
+        if similar[i, j] < threshold + 1e-3:
+            (s, v), (t, _) = entries(x), entries(y)
+            _, at, _ = np.intersect1d(s, t, assume_unique=True, return_indices=True)
+            both = v[at].sum()
+            if both / (total[x] + total[y] - both) < threshold:
+                continue
+        joined[max(one, other)] = min(one, other)
+        yield x, y
+
+
+def _cells(weights: Broadcast, threshold: float):
+    """Rows sorted by cell (band, i, j): links across components between blocks i and j of a bucket."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def cell_pairs(rows: list[tuple]) -> Iterator[tuple]:
-        _, i, j = rows[0][:3]
+    def links(rows: list[tuple], shared: Weights) -> Iterator[tuple]:
+        i, j = rows[0][1:3]
         block = np.array([r[3] for r in rows])
-        nodes, labels = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
-        samples = np.frombuffer(b"".join(r[6] for r in rows), "<u8").reshape(len(rows), -1)
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for x in left.tolist():
-            others = right if i != j else right[nodes[right] > nodes[x]]
-            others = others[labels[others] != labels[x]]
-            agree = (samples[others] == samples[x]).sum(axis=1)
-            for y in others[agree >= least].tolist():
-                yield min(int(nodes[x]), int(nodes[y])), max(int(nodes[x]), int(nodes[y]))
+        labels = [r[5] for r in rows]
+        if len(left) and len(right) and len(set(labels)) > 1:
+            for x, y in cell_links([unpack(r[6]) for r in rows], labels, left, right, shared, threshold):
+                yield min(rows[x][4], rows[y][4]), max(rows[x][4], rows[y][4])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
+            shared = Weights(**weights.value)
             cell, held = None, []
-            for batch in batches:
+            for batch in slices(batches):
                 for row in zip(*(c.to_pylist() for c in batch.columns)):
                     if row[:3] != cell and held:
-                        yield from cell_pairs(held)
+                        yield from links(held, shared)
                         held = []
                     cell = row[:3]
                     held.append(row)
             if held:
-                yield from cell_pairs(held)
+                yield from links(held, shared)
 
         yield from arrow_batches(made(), schema)
 
@@ -314,9 +380,9 @@ def near_duplicate_classes(docs: DataFrame, id_column: str = "doc_id", text_colu
 
     Candidates are texts that share a band of samples; a pair at the threshold misses all bands with a chance
     of (1 - threshold^rows)^bands. In a band's bucket every text is compared with the smallest one first. What
-    the found components leave apart is compared pair by pair in blocks of about 256 texts that spread over
-    tasks, by samples first; so no bucket is capped and none meets in one task. Every link is verified on the
-    texts. Document counts for the idf cover all documents in a table of fixed size.
+    the found components leave apart is compared block by block, about 512 texts against as many, spread over
+    tasks; a cell gives only links that join components. So no bucket is capped, none meets in one task, and
+    pairs are never written out. Every link is verified on the texts. Document counts for the idf cover all documents in a table of fixed size.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -368,18 +434,21 @@ def near_duplicate_classes(docs: DataFrame, id_column: str = "doc_id", text_colu
     # buckets with texts of several components: compare those across components, block by block
     placed = members.join(labels, "node", "left").select(
         "band", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    apart = placed.join(mixed.select("band"), "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
-    apart = apart.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    spread = apart.join(signed.select("node", "samples"), "node").select(
-        "band", "block", "node", "label", "samples",
+    member = F.xxhash64("node")
+    mixed = placed.groupBy("band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(member).alias("sign"), F.bit_xor(F.xxhash64(member)).alias("check")).filter("low != high")
+    # bands in which the same texts meet need one comparison
+    mixed = mixed.groupBy("size", "sign", "check").agg(F.min("band").alias("band")).select("band")
+    apart = placed.join(mixed, "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
+    apart = apart.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "node"), "blocks"))
+    spread = apart.join(texts, "node").select(
+        "band", "block", "node", "label", "data",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     cells = spread.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                          "block", "node", "label", "samples")
-    least = int(bands * rows * threshold - 5 * (bands * rows * threshold * (1 - threshold)) ** 0.5)
-    across = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(
-        _agreeing(least), "a long, b long").distinct()
-    further = stored(verified(across), "near-links")
+                          "block", "node", "label", "data")
+    further = stored(cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(
+        _cells(weights, threshold), "a long, b long").distinct(), "near-links")
     labels = components(links.unionByName(further)) if further.limit(1).count() else labels
 
     named = stored(listed.join(labels, "node", "left").select(
