@@ -479,3 +479,43 @@ def test_pipeline_stages_on_hard_and_empty_tables(spark, small_dir, hard, empty)
 
 def test_scratch_is_the_named_folder(spark):
     assert os.path.basename(scratch_path(spark, "x")).startswith("x-")
+
+
+def test_cell_links_join_what_exact_pairs_join():
+    import random
+
+    import numpy as np
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(120)]
+
+    def edited(n):
+        w = list(base)
+        for _ in range(n):
+            w[draw.randrange(len(w))] = f"x{draw.randrange(10**6)}"
+        return " ".join(w).encode()
+
+    texts = [edited(n) for n in [0, 1, 2, 3, 4, 5, 6, 8, 10, 14] * 4] + [b"a b a b a b a b a b a", b"a b a b a b a b a b a b"]
+    weights = neardup.Weights(np.zeros((2, neardup.CELLS), np.uint8), np.ones(64), np.ones(1), np.ones(1))
+
+    def counted(text):
+        w = text.split()
+        return collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+
+    sets = [counted(t) for t in texts]
+    owner = list(range(len(texts)))
+
+    def root(i):
+        while owner[i] != i:
+            i = owner[i]
+        return i
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if (sets[a] & sets[b]).total() >= 0.8 * (sets[a] | sets[b]).total():
+                owner[root(a)] = root(b)
+    want = collections.Counter(root(i) for i in range(len(texts)))
+    every = np.arange(len(texts))
+    links = list(neardup.cell_links(texts, every.tolist(), every, every, weights, 0.8))
+    assert len(links) == len(texts) - len(want) and all(root(a) == root(b) for a, b in links)
+    # texts already of one component give no links
+    assert not list(neardup.cell_links(texts, [7] * len(texts), every, every, weights, 0.8))
