@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,7 +101,8 @@ def _count_chunk(chunk: int, ids: list, train: list, held: list, texts: list, bu
     for bucket, part in split_sorted(values, 64, buckets):
         yield "words", bucket, chunk, None, None, None, pack_counts(values[part], counts[part])
     before = np.concatenate([[end_number], tokens[:-1]])  # a text starts after an end
-    pairs, pair_counts = np.unique(pair_hashes(values[before[learned]], values[tokens[learned]]), return_counts=True)
+    pairs, at = np.unique(pair_hashes(values[before], values[tokens]), return_inverse=True)
+    pair_counts = np.bincount(at[learned], minlength=len(pairs))  # 0 for pairs of other texts only
     for bucket, part in split_sorted(pairs, 48, buckets):
         yield "pairs", bucket, chunk, None, None, None, pack_counts(pairs[part], pair_counts[part])
     yield "texts", buckets, chunk, None, None, None, pickle.dumps((ids, held, lengths, end_number, pack_numbers(tokens)))
@@ -138,38 +139,39 @@ def _sum_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     return values, np.bincount(at, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
-def _merge_bucket(kind: str, bucket: int, rows: list[tuple[int, bytes]]) -> Iterator[tuple]:
+def _merge_bucket(kind: str, bucket: int, rows: list[tuple[int, bytes]], least: int) -> Iterator[tuple]:
     parts = [unpack_counts(data) for _, data in rows]
     values, counts = _sum_counts(parts)
     if kind == "pairs":
-        levels = _level_of(counts)
-        for level in np.unique(levels).tolist():
-            chosen = levels == level
-            yield ("grams", bucket, 0, level, int(chosen.sum()), None,
-                   pack_counts(values[chosen], np.zeros(0, dtype=np.int64)) if level > 1 else None)
+        found = filter_of(values, _level_of(counts), least).levels(values).astype(np.int8)
+        for (chunk, _), (own, _) in zip(rows, parts):
+            yield "levels", bucket, chunk, None, None, None, pack_numbers(found[np.searchsorted(values, own)])
         return
     yield "sums", bucket, 0, None, int((counts > 0).sum()), int(counts.sum()), None
     for (chunk, _), (own, _) in zip(rows, parts):
         yield "known", bucket, chunk, None, None, None, pack_counts(own, counts[np.searchsorted(values, own)])
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(least: int):
     """Rows sorted by (bucket, kind): one bucket's counts are summed at a time."""
 
-    def rows() -> Iterator[tuple]:
-        at, held = None, []
-        for batch in batches:
-            for kind, bucket, chunk, data in zip(*(batch.column(c).to_pylist()
-                                                   for c in ("kind", "bucket", "chunk", "data"))):
-                if (bucket, kind) != at and held:
-                    yield from _merge_bucket(at[1], at[0], held)
-                    held = []
-                at = (bucket, kind)
-                held.append((chunk, data))
-        if held:
-            yield from _merge_bucket(at[1], at[0], held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            at, held = None, []
+            for batch in batches:
+                for kind, bucket, chunk, data in zip(*(batch.column(c).to_pylist()
+                                                       for c in ("kind", "bucket", "chunk", "data"))):
+                    if (bucket, kind) != at and held:
+                        yield from _merge_bucket(at[1], at[0], held, least)
+                        held = []
+                    at = (bucket, kind)
+                    held.append((chunk, data))
+            if held:
+                yield from _merge_bucket(at[1], at[0], held, least)
+
+        yield from arrow_batches(rows(), _ROW_ARROW)
 
-    yield from arrow_batches(rows(), _ROW_ARROW)
+    return run
 
 
 def _places(pairs: np.ndarray, level: int, bits: int, probe: int) -> np.ndarray:
@@ -227,21 +229,30 @@ class CountFilter:
         return found
 
 
+def filter_of(pairs: np.ndarray, levels: np.ndarray, least: int) -> CountFilter:
+    """Filter of one bucket's bigrams from level ``least`` on; it grows with its entries."""
+    entries = int(np.maximum(levels - least + 1, 0).sum())
+    bits, top = -(-entries * BITS_PER_ENTRY // 64) * 64, int(levels.max(initial=0))
+    flags = np.zeros(bits, dtype=bool)
+    for level in range(least, top + 1):
+        chosen = pairs[levels >= level]
+        for probe in range(PROBES):
+            flags[_places(chosen, level, bits, probe)] = True
+    return CountFilter(np.packbits(flags).tobytes(), 1, bits, least, top)
+
+
 def build_filter(grams: DataFrame, buckets: int, min_count: int, max_bytes: int) -> CountFilter:
-    """Filter of the bigrams counted at least ``min_count`` times, in at most ``max_bytes``.
+    """One filter of the bigrams counted at least ``min_count`` times, for use on the driver.
 
-    It grows with the bigrams up to that bound; beyond it the least frequent level goes first.
+    ``score_texts`` keeps its filter split by bucket instead. More than ``max_bytes`` is an error: nothing is left out.
     """
     sizes = {r.level: r.n for r in grams.groupBy("level").agg(F.sum("n").alias("n")).collect()}
     least, top = int(_level_of(np.array([min_count]))[0]), max(sizes, default=0)
-
-    def entries(first: int) -> int:
-        return sum(n * (level - first + 1) for level, n in sizes.items() if level >= first)
-
-    while entries(least) * BITS_PER_ENTRY > max_bytes * 8:
-        least += 1
-    bits = -(-entries(least) * BITS_PER_ENTRY // buckets // 64) * 64
-    if not entries(least):
+    entries = sum(n * (level - least + 1) for level, n in sizes.items() if level >= least)
+    bits = -(-entries * BITS_PER_ENTRY // buckets // 64) * 64
+    if buckets * bits > max_bytes * 8 + buckets * 64:
+        raise ValueError(f"the bigrams need a filter of more than {max_bytes} bytes")
+    if not entries:
         return CountFilter(b"", buckets, 0, least, top)
     parts = grams.filter(F.col("level") >= least).select("bucket", "level", "data").repartition(
         "bucket").sortWithinPartitions("bucket").mapInArrow(_fill(bits, least), "bucket long, bits binary")
@@ -251,19 +262,22 @@ def build_filter(grams: DataFrame, buckets: int, min_count: int, max_bytes: int)
     return CountFilter(bytes(data), buckets, bits, least, top)
 
 
-def _score_texts(data: bytes, hashes: np.ndarray, counts: np.ndarray, total: int, kinds: int, weight: float,
-                 pairs_of: CountFilter) -> Iterator[tuple]:
+def _score_texts(data: bytes, hashes: np.ndarray, counts: np.ndarray, levels: np.ndarray, total: int, kinds: int,
+                 weight: float) -> Iterator[tuple]:
     ids, held, lengths, end_number, packed = pickle.loads(data)
     tokens = unpack_numbers(packed, "<i4")
     single = (counts + 1) / (total + kinds + 1)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     known = np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts)
     base = np.add.reduceat(np.log10(single)[tokens], starts)
+    met = np.concatenate([[end_number], tokens[:-1]])
+    # the levels stand in order of the chunk's distinct pairs, as _count_chunk sent them
+    levels = levels[np.unique(pair_hashes(hashes[met], hashes[tokens]), return_inverse=True)[1]]
     score = np.empty(len(tokens))
     for a in range(0, len(tokens), 1 << 20):
         word = tokens[a:a + (1 << 20)]
-        before = tokens[a - 1:a - 1 + len(word)] if a else np.concatenate([[end_number], word[:-1]])
-        seen = level_count(pairs_of.levels(pair_hashes(hashes[before], hashes[word])))
+        before = met[a:a + len(word)]
+        seen = level_count(levels[a:a + len(word)].astype(np.int64))
         context = counts[before]
         seen = np.minimum(seen, np.minimum(context, counts[word]))
         mixed = (1 - weight) * single[word] + weight * seen / np.maximum(context, 1)
@@ -273,22 +287,26 @@ def _score_texts(data: bytes, hashes: np.ndarray, counts: np.ndarray, total: int
         yield (*row[:4], total, *row[4:])
 
 
-def _score(total: int, kinds: int, weight: float, pairs_of: Broadcast, schema: pa.Schema):
-    """Rows sorted by (chunk, bucket): the known counts of a chunk's words in order of hash, then its texts."""
+def _score(total: int, kinds: int, weight: float, schema: pa.Schema):
+    """Rows sorted by (chunk, bucket): known counts of a chunk's words and levels of its pairs in order of hash,
+    then its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            held, known_pairs = [], CountFilter(**pairs_of.value)
+            held, levels = [], []
             for batch in batches:
                 for kind, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                     data = data.as_py()
                     if kind == "known":
                         held.append(unpack_counts(data))
-                        continue
-                    hashes = np.concatenate([h for h, _ in held])
-                    counts = np.concatenate([c for _, c in held])
-                    held = []
-                    yield from _score_texts(data, hashes, counts, total, kinds, weight, known_pairs)
+                    elif kind == "levels":
+                        levels.append(unpack_numbers(data, "<i1"))
+                    else:
+                        hashes = np.concatenate([h for h, _ in held])
+                        counts = np.concatenate([c for _, c in held])
+                        met = np.concatenate(levels)
+                        held, levels = [], []
+                        yield from _score_texts(data, hashes, counts, met, total, kinds, weight)
 
         yield from arrow_batches(rows(), schema)
 
@@ -296,8 +314,7 @@ def _score(total: int, kinds: int, weight: float, pairs_of: Broadcast, schema: p
 
 
 def score_texts(docs: DataFrame, trains: Column, held_out: Column, id_column: str = "doc_id",
-                text_column: str = "text", min_count: int = 2, max_filter_bytes: int = 32 << 20,
-                weight: float = 0.2) -> DataFrame:
+                text_column: str = "text", min_count: int = 1, weight: float = 0.2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Tokens are the words (A-Z in lower case) and one end. ``base_score`` sums log10((c + 1) / (N + V + 1)) with
@@ -311,25 +328,26 @@ def score_texts(docs: DataFrame, trains: Column, held_out: Column, id_column: st
 
     Tasks count chunks of about 16 MB; a chunk sends each distinct word and pair once to the bucket of its
     hash, which sums counts over all chunks and sends back those of the chunk's words. Hot words thus cost one
-    entry per chunk. Only the filter, bounded by ``max_filter_bytes``, is gathered and broadcast.
+    entry per chunk. The filter stays split by bucket and grows with its entries: a bucket fills its part, looks
+    the chunks' pairs up in it and sends their levels back. Two sums are all that is gathered.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_column].dataType.simpleString()
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(trains, F.lit(False)).alias("trains"),
                         F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_column).alias("text"))
+    least = int(_level_of(np.array([min_count]))[0])
     counted = stored(ready.mapInArrow(_count(buckets), _ROW), "lm-chunks", "kind")
     merged = stored(counted.filter("kind in ('words', 'pairs')").select("kind", "bucket", "chunk", "data")
-                    .repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_merge, _ROW),
+                    .repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_merge(least), _ROW),
                     "lm-counts", "kind")
     sums = merged.filter("kind = 'sums'").agg(F.sum("n").alias("kinds"), F.sum("total").alias("total")).first()
-    pairs = build_filter(merged.filter("kind = 'grams'"), buckets, min_count, max_filter_bytes)
     schema = pa.schema([("doc_id", arrow_type(docs, id_column)), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                         ("score", pa.float64())])
-    met = merged.filter("kind = 'known'").select("kind", "chunk", "bucket", "data").unionByName(
+    met = merged.filter("kind in ('known', 'levels')").select("kind", "chunk", "bucket", "data").unionByName(
         counted.filter("kind = 'texts'").select("kind", "chunk", "bucket", "data"))
     return met.repartition("chunk").sortWithinPartitions("chunk", "bucket").select("kind", "data").mapInArrow(
-        _score(sums.total or 0, sums.kinds or 0, weight, spark.sparkContext.broadcast(vars(pairs)), schema),
+        _score(sums.total or 0, sums.kinds or 0, weight, schema),
         f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
         "score double")
