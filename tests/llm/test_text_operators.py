@@ -171,6 +171,23 @@ def test_leaks_by_template(spark):
     assert leaks.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_with_longer_numbers_names_and_openers(spark):
+    items = [(1, "Tom has 12 apples. Tom gives 5 of them to Ann. Tom then buys 3 more apples. How many apples does Tom have?"),
+             (2, "A shop sells 12 pens and 15 books for 30 dollars on one day and earns 45 dollars on the next.")]
+    docs = [(1, "Sarah has 40 apples. Sarah gives 7 of them to Joe. Sarah then buys 8 more apples. How many apples does "
+                "Sarah have?"),
+            (2, "A shop sells 1,200 pens and 2,500 books for 1,450 dollars on one day and earns 2,200.50 dollars on the "
+                "next."),
+            (3, "Mary Jane has twenty-one apples. Mary Jane gives 2.5 of them to Joe Smith. Mary Jane then buys 3 more "
+                "apples. How many apples does Mary Jane have?"),
+            (4, "A shop opens at nine and closes at five on every day but the last one of the week.")]
+    found = leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                             spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.matched_words, r.item_words) for r in found.collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 1)}
+    assert all(m == n for m, n in got.values())
+
+
 def test_leaks_beside_plain_windows(spark, small_dir, tables):
     def plain(text):
         return re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())
