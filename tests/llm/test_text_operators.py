@@ -188,6 +188,21 @@ def test_leaks_with_longer_numbers_names_and_openers(spark):
     assert all(m == n for m, n in got.values())
 
 
+def test_leaks_over_insertions_and_equal_values(spark):
+    item = [f"{a}{b}" for a in ("ba", "de", "fi", "go", "ku") for b in ("lan", "mer", "nos", "pit", "rus", "tev")]
+    short = "the small van holds 12 crates of bread and the large van holds 12 crates of fruit every morning"
+    items = [(1, " ".join(item)), (2, short)]
+    put_in = [*item[:10], "xx", *item[10:20], "yy", *item[20:]]
+    apart = [*item[:10], *[f"far{c}" for c in "abcdefghijklmnopqrstuvwxyz"], *item[10:14]]
+    twice = [*item[:8], *["so"] * 40, *item[:8]]
+    docs = [(1, " ".join(put_in)), (2, " ".join(apart)), (3, " ".join(twice)),
+            (4, short.replace("12", "40", 1).replace("12", "7"))]
+    found = leaks.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                             spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.matched_words for r in found.collect()}
+    assert got == {(1, 1): 30, (4, 2): len(short.split())}
+
+
 def test_leaks_beside_plain_windows(spark, small_dir, tables):
     def plain(text):
         return re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())

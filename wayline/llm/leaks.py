@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.common import (arrow_batches, arrow_type, byte_texts, chunked, inside_texts, mix, row_key, slices, stored,
@@ -222,9 +222,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     words are compared literally, and windows of as many tokens as templates whose numbers, names and units are one
     typed placeholder each, of any number of words. An
     item shorter than a window is one window; below ``min_words`` words it can't be told from chance and is
-    left out. Windows at one offset between document and item belong together; if a value of the item stands
-    against two values of the document there, or the other way round, the templates only look alike and do
-    not count. A document leaks an item if ``share`` of the item's words match, or ``enough`` of them.
+    left out. Windows at one offset (in tokens) between document and item belong together; if a name of the item
+    stands against two names of the document there, or the other way round, the templates only look alike and do
+    not count. Windows less than two windows apart in the document make a region, whatever their offsets; what
+    counts are the item's distinct words matched in it, and no more than words of the document. A document leaks
+    an item if ``share`` of the item's words match in a region, or ``enough`` of them.
 
     NULL texts match nothing. Repeated rows of documents share a key and give one row per item; repeated items
     likewise. NULL ids are allowed; other columns are not read; empty tables give empty tables.
@@ -266,30 +268,47 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     pairs = stored(d.join(i, (F.col("d.hash") == F.col("i.hash")) & (F.col("d.window") == F.col("i.window"))
                           & (F.col("d.kind") == F.col("i.kind"))).select(
         "d.key", "d.doc_id", "i.item_id", (F.col("d.place") - F.col("i.place")).alias("shift"), F.col("i.at").alias("at"),
-        F.col("i.upto").alias("upto"), F.col("i.words").alias("item_words"),
-        F.arrays_zip(F.col("i.values").alias("was"), F.col("d.values").alias("now")).alias("values")), "leak-windows")
+        F.col("i.upto").alias("upto"), F.col("d.at").alias("doc_at"), F.col("d.upto").alias("doc_upto"),
+        F.col("i.words").alias("item_words"),
+        F.arrays_zip(F.col("i.values").alias("was"), F.col("d.values").alias("now"), F.col("i.names").alias("name")).alias(
+            "values")), "leak-windows")
     place_of = ["key", "doc_id", "item_id", "shift"]
     filled = pairs.select(*place_of, F.explode("values").alias("v")).filter("v.was is not null").select(
-        *place_of, F.col("v.was").alias("was"), F.col("v.now").alias("now")).distinct()
-    slots = filled.groupBy(*place_of).agg(F.count(F.lit(1)).alias("n_slots"), F.count_distinct("was").alias("was"),
-                                          F.count_distinct("now").alias("now"))
-    # one value against one value: as many pairs as values on either side
-    odd = slots.filter((F.col("n_slots") != F.col("was")) | (F.col("n_slots") != F.col("now")))
+        *place_of, F.col("v.was").alias("was"), F.col("v.now").alias("now"), F.col("v.name").alias("name")).distinct()
+    slots = filled.groupBy(*place_of).agg(
+        F.count(F.lit(1)).alias("n_slots"), F.count_if("name").alias("n_names"),
+        F.count_distinct(F.when(F.col("name"), F.col("was"))).alias("was"),
+        F.count_distinct(F.when(F.col("name"), F.col("now"))).alias("now"))
+    # one name against one name: as many pairs as names on either side; numbers and units may be equal by accident
+    odd = (F.col("n_names") != F.col("was")) | (F.col("n_names") != F.col("now"))
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in place_of]
     literal = F.forall("values", lambda v: v["was"].isNull())
-    kept = pairs.alias("p").join(odd.alias("s"), same, "left").filter(
-        F.col("s.n_slots").isNull() | literal).select("p.*")
-    # positions of the item that no window before has covered
-    along = Window.partitionBy(*place_of).orderBy("at", "upto").rowsBetween(Window.unboundedPreceding, -1)
-    step = F.col("upto") - F.greatest(F.col("at"), F.coalesce(F.max("upto").over(along), F.lit(0)))
-    runs = kept.withColumn("new", F.greatest(step, F.lit(0)))
-    matched = runs.groupBy(*place_of).agg(F.sum("new").alias("matched_words"), F.max("item_words").alias("item_words"))
+    kept = pairs.alias("p").join(slots.alias("s"), same, "left").filter(
+        F.coalesce(~odd, F.lit(True)) | literal).select("p.*", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
+    place_of = ["key", "doc_id", "item_id"]
+
+    def before(*by: str) -> Window:
+        return Window.partitionBy(*place_of, *by[:-2]).orderBy(*by[-2:]).rowsBetween(Window.unboundedPreceding, -1)
+
+    def fresh(at: str, upto: str) -> Column:
+        """Words that no window before, in order of place, has covered."""
+        covered = F.coalesce(F.max(upto).over(before("region", at, upto)), F.lit(0))
+        return F.greatest(F.col(upto) - F.greatest(F.col(at), covered), F.lit(0))
+
+    # a word put in breaks at most the windows over it, so parts of one copy are less than two windows apart
+    far = F.col("doc_at") - F.max("doc_upto").over(before("doc_at", "doc_upto")) > 2 * window
+    along = Window.partitionBy(*place_of).orderBy("doc_at", "doc_upto", "at", "upto", "shift").rowsBetween(
+        Window.unboundedPreceding, 0)
+    regions = kept.withColumn("opens", F.coalesce(far, F.lit(False)).cast("int")).withColumn(
+        "region", F.sum("opens").over(along))
+    matched = regions.withColumn("new", fresh("at", "upto")).withColumn("doc_new", fresh("doc_at", "doc_upto")).groupBy(
+        *place_of, "region").agg(F.sum("new").alias("item_side"), F.sum("doc_new").alias("doc_side"), F.max("item_words").alias(
+            "item_words"), F.max("n_slots").alias("n_slots"))
+    # longer numbers or names make the document's side the longer one, repeated phrases in the item the item's
+    matched = matched.withColumn("matched_words", F.least("item_side", "doc_side"))
     leaks = matched.filter((F.col("matched_words") >= F.lit(share) * F.col("item_words"))
                            | (F.col("matched_words") >= enough))
-    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in place_of]
-    return leaks.alias("p").join(slots.alias("s"), same, "left").select(
-        "p.key", "p.doc_id", "p.item_id", "matched_words", "item_words",
-        F.coalesce("n_slots", F.lit(0)).alias("n_slots")).groupBy("key", "doc_id", "item_id").agg(
+    return leaks.groupBy("key", "doc_id", "item_id").agg(
         F.max("matched_words").alias("matched_words"), F.max("item_words").alias("item_words"),
         F.max("n_slots").cast("long").alias("n_slots"))
 
