@@ -141,6 +141,52 @@ def test_salvage_recovers_later_records():
     assert list(warc.salvage(b"")) == []
 
 
+def test_salvage_goes_on_inside_a_member():
+    import random
+    draw = random.Random(4)
+
+    def record(i):
+        block = bytes(draw.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+        return warc.record_bytes("response", f"urn:page:{i}", "u", block, warc.sha1_name(b""))
+
+    def kept(data):
+        found = list(warc.salvage(data))
+        return ([int(f[3]["warc-record-id"].strip("<>").split(":")[-1]) for f in found if f[0] == "record"],
+                sum(f[0] == "gap" for f in found))
+
+    plain = [record(i) for i in range(20)]
+    wrong = plain[4][:-40] + b"#" + plain[4][-39:]
+    short = re.sub(rb"Content-Length: 3000", b"Content-Length: 2990", plain[5])
+    whole = warc.gzip_member(b"".join([*plain[:4], wrong, short, *plain[6:]]))
+    assert kept(whole) == ([*range(4), *range(6, 20)], 1)
+    member, after = warc.gzip_member(b"".join(plain)), warc.gzip_member(record(99))
+    ids, gaps = kept(member[:len(member) * 6 // 10] + after)
+    assert ids[:10] == list(range(10)) and ids[-1] == 99 and ids == sorted(set(ids)) and gaps == 1
+    bad = bytearray(member)
+    bad[len(bad) // 2:len(bad) // 2 + 40] = b"\xff" * 40
+    ids, gaps = kept(bytes(bad) + after)
+    assert ids[:9] == list(range(9)) and ids[-1] == 99 and gaps == 1 and len(ids) < 21
+
+
+def test_foreign_digests_are_read_by_their_label(tmp_path, spark):
+    import base64
+    payload, rows = b"some payload", []
+    for name in ["md5", "sha1", "sha256", "sha-512"]:
+        own = hashlib.new(name.replace("-", ""), payload).digest()
+        rows += [f"{name}:{own.hex()}", f"{name.upper()}:{own.hex().upper()}", f"{name}:{base64.b32encode(own).decode().lower()}"]
+    rows += ["blake9:zz", "none"]
+    bad = ["md5:" + "0" * 32, "sha256:" + "0" * 64, "sha1:" + "0" * 40]
+    data = b""
+    for i, digest in enumerate([*rows, *bad]):
+        one = warc.record_bytes("resource", f"urn:page:{i}", "u", payload, digest).replace(b"application/http; msgtype=response",
+                                                                                        b"text/plain")
+        data += re.sub(rb"WARC-Block-Digest: [^\r]*", b"WARC-Block-Digest: " + digest.encode() if i % 2 else b"X: y", one)
+    (tmp_path / "a.warc").write_bytes(data)
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert {r.record_id for r in got if r.kind == "record"} == {f"urn:page:{i}" for i in range(len(rows))}
+    assert any(r.kind == "gap" for r in got)
+
+
 def test_damaged_files_are_read_by_spark(spark, tmp_path):
     good = warc.gzip_member(warc.record_bytes("response", "urn:page:1", "u", b"H\r\n\r\nx", warc.sha1_name(b"x")))
     (tmp_path / "a.warc.gz").write_bytes(b"\x1f\x8b\x08 no" + good + warc.EMPTY_MEMBER + good[:-3])

@@ -19,6 +19,7 @@ from wayline.session import scratch_path
 EMPTY_MEMBER = bytes([31, 139, 8, 0, 0, 0, 0, 0, 0, 255, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
 MEMBER_START = bytes([31, 139, 8])
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+ALGORITHMS = ["md5", "sha1", "sha224", "sha256", "sha384", "sha512"]
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 READ_SCHEMA = ("path string, offset long, length long, kind string, reason string, record_id string, type string, "
@@ -33,6 +34,17 @@ def sha1_name(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def digest_agrees(named: str, data: bytes) -> bool | None:
+    """Whether a digest is that of the data, in hex, base32 or base64; None if its label names no known algorithm."""
+    label, colon, value = named.strip().partition(":")
+    algorithm, value = label.strip().lower().replace("-", ""), value.strip().rstrip("=")
+    if not colon or algorithm not in ALGORITHMS:
+        return None
+    own = hashlib.new(algorithm, data).digest()
+    return (value.lower() == own.hex() or value.upper() == base64.b32encode(own).decode().rstrip("=")
+            or value == base64.b64encode(own).decode().rstrip("="))
+
+
 def record_bytes(record_type: str, record_id: str, uri: str | None, block: bytes, payload_digest: str,
                  refers_to: str | None = None) -> bytes:
     """One WARC/1.1 record; the dates are fixed so that a rerun writes the same bytes."""
@@ -75,34 +87,85 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     if data[end:end + 4] != b"\r\n\r\n":
         raise Damaged("record end not where its length says")
     block = data[first:end]
-    digest = headers.get("warc-block-digest", "")
-    if digest.lower().startswith("sha1:") and digest[5:].upper() != sha1_name(block)[5:]:
+    if digest_agrees(headers.get("warc-block-digest", ""), block) is False:
         raise Damaged("block digest differs")
     return headers, block, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    unpacker = zlib.decompressobj(31)
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """(content, end, problem) of a gzip member; of a damaged one what came out before the error."""
+    unpacker, out, end, size, view = zlib.decompressobj(31), [], at, 4096, memoryview(data)
     try:
-        out = unpacker.decompress(memoryview(data)[at:])
-    except zlib.error as problem:
-        raise Damaged("member does not unpack") from problem
-    if not unpacker.eof:
-        raise Damaged("member not ended")
-    return out, len(data) - len(unpacker.unused_data)
+        while not unpacker.eof and end < len(data):  # in pieces, as zlib copies what it doesn't use
+            out.append(unpacker.decompress(view[end:end + size]))
+            end, size = min(end + size, len(data)), min(2 * size, 1 << 20)
+    except zlib.error:
+        return *_piecewise(data, at), "member does not unpack"
+    return b"".join(out), end - len(unpacker.unused_data), "" if unpacker.eof else "member not ended"
+
+
+def _piecewise(data: bytes, at: int, piece: int = 4096) -> tuple[bytes, int]:
+    """Unpack up to an error, the last piece byte by byte."""
+    unpacker, out, size = zlib.decompressobj(31), [], piece
+    while at < len(data):
+        saved = unpacker.copy() if size > 1 else None
+        try:
+            out.append(unpacker.decompress(data[at:at + size]))
+            at += size
+        except zlib.error:
+            if saved is None:
+                break
+            unpacker, size = saved, 1
+    return b"".join(out), at
+
+
+def _unpacked(inner: bytes, problem: str) -> tuple[list[tuple[dict[str, str], bytes]], list[str]]:
+    """Records of a member's content and the reasons of the gaps in it, found as in a plain archive.
+
+    In a damaged member the last thing that came out is never sure, and after an error in its bytes only
+    records whose digest was checked are.
+    """
+    records, gaps, place, gap, reason = [], [], 0, None, ""
 
+    def close() -> None:
+        gaps.append(f"{reason} (unpacked bytes {gap} to {place})")
 
-def _unpack_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """Records and end of what stands at a place: a gzip member (with any number of records) or a plain record."""
+    while place < len(inner):
+        try:
+            headers, block, end = parse_record(inner, place)
+            if problem and end == len(inner):
+                raise Damaged(problem)
+            if problem == "member does not unpack" and not (
+                    digest_agrees(headers.get("warc-block-digest", ""), block)
+                    or digest_agrees(headers.get("warc-payload-digest", ""), _payload(headers, block))):
+                raise Damaged(problem)
+        except Damaged as found:
+            if gap is None:
+                gap, reason = place, str(found)
+            line = VERSION_LINE.search(inner, place + 1)
+            place = line.start() if line else len(inner)
+            continue
+        if gap is not None:
+            close()
+            gap = None
+        records.append((headers, block))
+        place = end
+    if gap is not None:
+        close()
+    return records, gaps
+
+
+def _unpack_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], list[str], int, str]:
+    """(records, reasons of gaps, end, problem) of what stands at a place: a gzip member (with any number of
+    records) or a plain record. Damaged if there is no record in something damaged."""
     if data[at:at + 3] == MEMBER_START:
-        inner, end = _member(data, at)
-        records, place = [], 0
-        while place < len(inner):
-            headers, block, place = parse_record(inner, place)
-            records.append((headers, block))
-        return records, end
+        inner, end, problem = _member(data, at)
+        records, gaps = _unpacked(inner, problem)
+        if not records and (problem or gaps):
+            raise Damaged(problem or gaps[0].partition(" (")[0])
+        return records, gaps, end, problem
     headers, block, end = parse_record(data, at)
-    return [(headers, block)], end
+    return [(headers, block)], [], end, ""
 
 
 def _next_start(data: bytes, at: int) -> int:
@@ -118,15 +181,17 @@ def salvage(data: bytes) -> Iterator[tuple]:
 
     Yields ("record", offset, length, headers, block) and ("gap", offset, length, reason). After a failed check
     the search goes on one byte later for the next member or version line from which a record reads well; all
-    bytes up to there are one quarantined gap.
+    bytes up to there are one quarantined gap. In a gzip member the same search goes on in what it unpacks to, and
+    a gap in it has the member's place and names the unpacked bytes. A member that is cut or breaks while it
+    unpacks gives the records before the break, with the bytes read for them, and is then a gap as a whole.
     """
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
-            records, end = _unpack_at(data, at)
-        except Damaged as problem:
+            records, gaps, end, problem = _unpack_at(data, at)
+        except Damaged as found:
             if gap is None:
-                gap, reason = at, str(problem)
+                gap, reason = at, str(found)
             at = _next_start(data, at + 1)
             continue
         if gap is not None:
@@ -134,6 +199,12 @@ def salvage(data: bytes) -> Iterator[tuple]:
             gap = None
         for headers, block in records:
             yield "record", at, end - at, headers, block
+        if problem:  # the end is unknown: another member may follow inside the bytes read
+            gap, reason = at, problem
+            at = _next_start(data, at + 1)
+            continue
+        for inner in gaps:
+            yield "gap", at, end - at, inner
         at = end
     if gap is not None:
         yield "gap", gap, len(data) - gap, reason
@@ -159,7 +230,7 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     payload = _payload(headers, block)
                     digest = headers.get("warc-payload-digest")
                     kept = headers.get("warc-type") == "revisit"
-                    if not kept and digest and digest != sha1_name(payload):
+                    if not kept and digest and digest_agrees(digest, payload) is False:
                         yield path, offset, length, "gap", "payload digest differs", *[None] * 6
                         continue
                     yield (path, offset, length, kind, None, headers.get("warc-record-id", "").strip("<>"),
