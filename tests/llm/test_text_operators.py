@@ -379,6 +379,25 @@ def test_language_kernel_is_shared_grams(spark):
         assert len(grams(a) & grams(b)) == len(plain(a) & plain(b)) and len(grams(a)) == len(plain(a))
 
 
+def test_language_tells_many_scripts_apart(spark):
+    import random
+    draw = random.Random(8)
+    # frequent letters of two scripts fill what few classes there could be; the rare ones hold other languages
+    alphabets = {"l1": (97, 26), "l2": (0x430, 32), "l3": (0x3B1, 17), "l4": (0x5D0, 22), "l5": (0x10D0, 30),
+                 "l6": (0xAC00, 300), "l7": (0x4E00, 300), "l8": (0x3042, 60), "l9": (0x905, 40)}
+    rows = []
+    for lang, (first, n) in alphabets.items():
+        letters = [c for c in map(chr, range(first, first + n)) if c.isalpha()]
+        for i in range(40):
+            words_ = ["".join(draw.choice(letters) for _ in range(draw.randrange(2, 7))) for _ in range(60)]
+            rows.append((len(rows), " ".join(words_), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify_languages(docs).collect()}
+    held = [(got[i].lang_pred, lang) for i, _, lang in rows if got[i].held_out]
+    assert len(held) > 50 and all(a == b for a, b in held)
+    assert min(r.score for r in got.values()) > 0.3
+
+
 def test_language_hard_cases(hard, empty):
     got = language.identify_languages(hard).collect()
     assert len(got) == hard.count()

@@ -11,22 +11,21 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.common import stored
+from wayline.llm.common import mix, stored
 
 UNDETERMINED = "und"
-#: Letters with a class of their own; class 0 is any run of non-letters, the last class all other letters.
-LETTERS = 62
-_CLASSES = LETTERS + 2
-#: Ids of the blended spectrum: 1-, 2- and 3-grams of classes, one range after another.
-SPECTRUM = _CLASSES + _CLASSES**2 + _CLASSES**3
+#: Ids of the blended spectrum: 1-, 2- and 3-grams of code points, hashed; 0 is the gap alone.
+SPECTRUM = 1 << 24
+#: Cells of a block of texts by n-grams.
+_CELLS = 1 << 24
 
 
 @dataclass
 class LanguageModel:
-    """What a worker needs to score texts; its size is bounded by the landmarks and the spectrum."""
+    """What a worker needs to score texts; its size is bounded by the landmarks and their n-grams."""
 
     languages: list[str]
-    classes: np.ndarray  # class of every code point
+    classes: np.ndarray  # 1 for every code point that is a letter
     grams: np.ndarray  # ids of the n-grams that occur in landmarks
     landmarks: np.ndarray  # presence of those n-grams, one row per landmark
     sizes: np.ndarray  # n-grams present in each landmark
@@ -38,56 +37,68 @@ def remainder(id_column: Column, divisor: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % divisor
 
 
-def letter_classes(letters: list[int]) -> np.ndarray:
+def letter_classes(letters: list[int] | None = None) -> np.ndarray:
+    """1 for the code points that count as letters, all of the world if none are given."""
     classes = np.zeros(0x110000, dtype=np.uint8)
-    classes[np.fromiter((c for c in range(0x110000) if chr(c).isalpha()), dtype=np.int64)] = LETTERS + 1
-    for i, letter in enumerate(letters[:LETTERS]):
-        classes[letter] = i + 1
+    classes[[c for c in range(0x110000) if chr(c).isalpha()] if letters is None else letters] = 1
     return classes
 
 
 def class_string(text: str, classes: np.ndarray) -> np.ndarray:
-    """Letter classes of a text, runs of other characters as one gap at either side of a word."""
+    """Letters of a text as code points, runs of other characters as one gap (0) at either side of a word."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    mapped = classes[points]
-    mapped = np.concatenate([np.zeros(1, np.uint8), mapped, np.zeros(1, np.uint8)])
-    return mapped[np.concatenate([[True], (mapped[1:] != 0) | (mapped[:-1] != 0)])].astype(np.int32)
+    mapped = np.zeros(len(points) + 2, dtype=np.uint64)
+    mapped[1:-1] = points * classes[points]
+    return mapped[np.concatenate([[True], (mapped[1:] != 0) | (mapped[:-1] != 0)])]
+
+
+def spectrum_ids(symbols: np.ndarray) -> np.ndarray:
+    """Ids of all 1-, 2- and 3-grams in a row, with repeats; a code point has 21 bits."""
+    two = (symbols[:-1] << np.uint64(21)) | symbols[1:]
+    three = (two[:-1] << np.uint64(21)) | symbols[2:]
+    grams = np.concatenate([symbols, two + np.uint64(1 << 62), three + np.uint64(1 << 63)])
+    ids = np.maximum((mix(grams) >> np.uint64(40)).astype(np.int64), 1)
+    ids[:len(symbols)][symbols == 0] = 0
+    return ids
 
 
 def mark_spectrum(symbols: np.ndarray, flags: np.ndarray) -> list[np.ndarray]:
     """Set the flags of all 1-, 2- and 3-grams present; returns the ids, so that they can be cleared."""
-    two = symbols[:-1] * _CLASSES + symbols[1:]
-    three = two[:-1] * _CLASSES + symbols[2:]
-    found = [symbols, two + _CLASSES, three + (_CLASSES + _CLASSES**2)]
-    for ids in found:
-        flags[ids] = True
+    ids = spectrum_ids(symbols)
+    flags[ids] = True
     flags[0] = False
-    return found
+    return [ids]
+
+
+def distinct_ids(symbols: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Ids of the 1-, 2- and 3-grams present, once each; ``seen`` is a table for reuse, of any content."""
+    ids = spectrum_ids(symbols)
+    places = np.arange(len(ids), dtype=seen.dtype)
+    seen[ids] = places
+    return ids[(seen[ids] == places) & (ids != 0)]
+
+
+def presence_of(texts: list[np.ndarray], place: np.ndarray, width: int) -> np.ndarray:
+    """Presence of ``width`` n-grams in texts given as distinct ids; ``place`` gives each id's column or -1."""
+    presence = np.zeros((len(texts), width), dtype=np.float32)
+    for i, ids in enumerate(texts):
+        at = place[ids]
+        presence[i, at[at >= 0]] = 1
+    return presence
 
 
-def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts: dict[int, int] = {}
-        for text in batch.column(0).to_pylist():
-            points, n = np.unique(np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4"),
-                                  return_counts=True)
-            for p, k in zip(points.tolist(), n.tolist()):
-                if chr(p).isalpha():
-                    counts[p] = counts.get(p, 0) + k
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["letter", "n"])
+def places_of(grams: np.ndarray) -> np.ndarray:
+    place = np.full(SPECTRUM, -1, dtype=np.int32)
+    place[grams] = np.arange(len(grams), dtype=np.int32)
+    return place
 
 
 def _spectra(classes: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(SPECTRUM, dtype=bool)
+        seen = np.zeros(SPECTRUM, dtype=np.int32)
         for batch in batches:
-            out = []
-            for text in batch.column(2).to_pylist():
-                found = mark_spectrum(class_string(text, classes.value), flags)
-                out.append(np.flatnonzero(flags).astype("<i4").tobytes())
-                for ids in found:
-                    flags[ids] = False
+            out = [np.sort(distinct_ids(class_string(text, classes.value), seen)).astype("<i4").tobytes()
+                   for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["lang", "draw", "grams"])
 
@@ -123,16 +134,14 @@ def fit_language_model(docs: DataFrame, trains: Column, id_column: str = "doc_id
                        ridge: float = 1e-2) -> LanguageModel | None:
     """Fit on at most ``per_language`` labelled texts of each language and ``most`` in all (seeded by id).
 
-    Texts become the sets of 1- to 3-grams of their letters; the kernel of two texts is the number of n-grams
+    Texts become the sets of 1- to 3-grams of their letters, of any script; the kernel of two texts is the number of n-grams
     both have, over the square root of the product of their numbers. Some of the sample (``landmarks`` in all,
     one per language at least) span the Nystrom features; ridge regression gives each language against
     the rest. None if nothing is labelled. Only n-gram ids of the sample reach the driver.
     """
     spark = docs.sparkSession
     sample = labelled_sample(docs, trains, per_language, most, id_column, text_column, lang_column)
-    letters = sample.select("text").mapInArrow(_letter_counts, "letter long, n long").groupBy("letter").agg(
-        F.sum("n").alias("n")).orderBy(F.desc("n"), "letter").limit(LETTERS).collect()
-    classes = letter_classes([r.letter for r in letters])
+    classes = letter_classes()
     rows = sample.select("lang", "draw", "text").mapInArrow(
         _spectra(spark.sparkContext.broadcast(classes)), "lang string, draw long, grams binary").collect()
     rows = sorted(((r.lang, r.draw, np.frombuffer(bytes(r.grams), "<i4")) for r in rows), key=lambda r: r[:2])
@@ -146,19 +155,18 @@ def fit_language_model(docs: DataFrame, trains: Column, id_column: str = "doc_id
             taken[row[0]] += 1
             chosen.append(i)
     grams = np.unique(np.concatenate([rows[i][2] for i in chosen]))
-    presence = np.zeros((len(rows), len(grams)), dtype=np.float32)
-    for i, (_, _, ids) in enumerate(rows):
-        at = np.searchsorted(grams, ids)
-        at[at == len(grams)] = 0
-        presence[i, at[grams[at] == ids]] = 1
+    place, block = places_of(grams), max(1, _CELLS // len(grams))
+    marked = presence_of([rows[i][2] for i in chosen], place, len(grams))
     sizes = np.array([len(r[2]) for r in rows], dtype=np.float64)
-    kernel = (presence @ presence[chosen].T).astype(np.float64) / np.sqrt(np.outer(sizes, sizes[chosen]))
+    kernel = np.concatenate([presence_of([r[2] for r in rows[a:a + block]], place, len(grams)) @ marked.T
+                             for a in range(0, len(rows), block)]).astype(np.float64)
+    kernel /= np.sqrt(np.outer(sizes, sizes[chosen]))
     values, vectors = np.linalg.eigh(kernel[chosen])
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
     features = kernel @ root
     wanted = np.array([[float(r[0] == lang) for lang in languages] for r in rows])
     weights = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ wanted)
-    return LanguageModel(languages, classes, grams, presence[chosen].astype(np.uint8), sizes[chosen], root @ weights)
+    return LanguageModel(languages, classes, grams, marked.astype(np.uint8), sizes[chosen], root @ weights)
 
 
 def _predict(model: Broadcast, extra: int, block: int = 256):
@@ -167,21 +175,14 @@ def _predict(model: Broadcast, extra: int, block: int = 256):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**model.value)
         landmarks = m.landmarks.T.astype(np.float32)
-        flags = np.zeros(SPECTRUM, dtype=bool)
+        seen, place = np.zeros(SPECTRUM, dtype=np.int32), places_of(m.grams)
+        size = min(block, max(1, _CELLS // len(m.grams)))
         for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                part = batch.slice(at, block)
-                presence = np.zeros((part.num_rows, len(m.grams)), dtype=np.float32)
-                sizes = np.zeros(part.num_rows)
-                for i, text in enumerate(part.column(extra)):
-                    symbols = class_string(text.as_py() or "", m.classes)
-                    if len(symbols) < 3:  # at most one gap: no letter
-                        continue
-                    found = mark_spectrum(symbols, flags)
-                    presence[i] = flags[m.grams]
-                    sizes[i] = np.count_nonzero(flags)
-                    for ids in found:
-                        flags[ids] = False
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                texts = [distinct_ids(class_string(text.as_py() or "", m.classes), seen) for text in part.column(extra)]
+                sizes = np.array([len(ids) for ids in texts], dtype=np.float64)
+                presence = presence_of(texts, place, len(m.grams))
                 kernel = (presence @ landmarks) / np.sqrt(np.outer(np.maximum(sizes, 1), m.sizes))
                 values = np.maximum(kernel @ m.dual, 0)
                 total = values.sum(axis=1)
