@@ -22,7 +22,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ke
 @pytest.fixture(scope="module")
 def tables(small_dir):
     con = duckdb.connect()
-    for name in ["documents", "pages", "benchmark", "labels", "conversations"]:
+    for name in ["documents", "pages", "benchmark", "labels", "conversations", "embeddings"]:
         con.execute(f"create view {name} as select * from '{small_dir}/{name}.parquet'")
     return con
 

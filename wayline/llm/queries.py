@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayline.llm import chat, exact, language, leaks, lines, mixing, neardup, passages, scoring, warc
-from wayline.llm.common import table
+from wayline.llm import (
+    chat,
+    exact,
+    language,
+    leaks,
+    lines,
+    middle,
+    mixing,
+    neardup,
+    negatives,
+    passages,
+    records,
+    scoring,
+    warc,
+)
+from wayline.llm.common import stored, table
+from wayline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -205,3 +221,71 @@ select doc_id, size, source_size, target,
 from placed""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * x::double) for x in embedding] as v
+    from embeddings
+    where label is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (
+    select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same,
+        list_inner_product(a.v, r.v)::bigint as score
+    from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0),
+positives as (
+    select anchor_id, id as positive_id, score as positive_score from pairs where same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+found as (
+    select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank
+    from positives join pairs using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from found where rank <= 3""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(negatives.usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    ready = rows.select("vec_id", label.alias("label"), negatives.quantised(F.col("embedding")).alias("vector"))
+    return negatives.mine_hard_negatives(ready, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_fill_in_middle", r"""
+with lines as (
+    select doc_id, coalesce(text, '') as text,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+        sha256('7:' || coalesce(doc_id::varchar, '')) as h
+    from documents),
+draws as (
+    select *, len(units)::bigint as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+        ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+    from lines),
+cuts as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+            or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+    from draws),
+parts as (
+    select *, array_to_string(units[1:a], '') as prefix, array_to_string(units[a + 1:b], '') as middle,
+        array_to_string(units[b + 1:], '') as suffix
+    from cuts)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from parts""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = stored(middle.write_frames(table(spark, sf_dir, "documents")), "text-frames")
+    return middle.middle_digests(middle.transform_middle(middle.plan_cuts(framed)))
+
+
+@query("op13_token_records")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = records.load_tokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
+    path = scratch_path(spark, "token-records")
+    records.write_records(docs, path, tokenizer)
+    index = records.write_index(spark, path, scratch_path(spark, "token-index"))
+    return index.select(F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "start", "n_tokens", "ids_crc32",
+                        F.element_at(F.split("file", "/"), -1).alias("file"), "offset")
