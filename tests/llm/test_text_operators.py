@@ -359,24 +359,68 @@ def test_language_held_out_accuracy(spark, small_dir):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
-def test_language_kernel_is_shared_grams(spark):
-    import numpy as np
-    classes = language.letter_classes([ord(c) for c in "abcdefghijklmnopqrstuvwxyz"])
-    flags = np.zeros(language.SPECTRUM, dtype=bool)
+def plain_grams(text, letters=str.isalpha):
+    told = "".join(c if letters(c) else " " for c in "".join(c.lower() for c in text).replace("\u03c2", "\u03c3"))
+    padded = " " + " ".join(told.split()) + " "
+    return {padded[i:i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)} - {" "}
 
-    def grams(text):
-        found = language.mark_spectrum(language.class_string(text, classes), flags)
-        present = set(np.flatnonzero(flags).tolist())
-        for ids in found:
-            flags[ids] = False
-        return present
 
-    def plain(text):
-        padded = " " + " ".join(re.findall("[a-z]+", text.lower())) + " "
-        return {padded[i:i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)} - {" "}
+def test_language_kernel_is_shared_grams(monkeypatch):
+    import numpy as np
+    classes = language.letter_classes([ord(c) for c in "abcdefghijklmnopqrstuvwxyz"])
+    texts = ["The cat, sat!", "a cat", "x", "xx xx", "12 ab 34", "ab", "", "...", "long words and gaps  " * 30]
+    for block in (1, 2, 5, 1 << 16):
+        monkeypatch.setattr(language, "_BLOCK_CHARS", block)
+        for a in texts:
+            for b in texts:
+                one, two = (language.distinct_ids(t, classes) for t in (a, b))
+                lower = [plain_grams(t, lambda c: c in "abcdefghijklmnopqrstuvwxyz") if t.strip(".") else set()
+                         for t in (a, b)]
+                assert len(one) == len(lower[0])
+                assert len(np.intersect1d(one, two)) == len(lower[0] & lower[1])
+                got = language.shared_grams([two], one, np.ones((1, len(one)), dtype=np.uint8))
+                assert got[0, 0] == len(lower[0] & lower[1])
+
+
+def test_language_beside_direct_kernel_ridge(spark):
+    """With every text as a landmark the features span all, so the outputs are those of plain kernel ridge regression."""
+    import random
 
-    for a, b in [("The cat, sat!", "a cat"), ("x", "xx xx"), ("12 ab 34", "ab")]:
-        assert len(grams(a) & grams(b)) == len(plain(a) & plain(b)) and len(grams(a)) == len(plain(a))
+    import numpy as np
+    draw = random.Random(3)
+    stems = {"xx": "abcdeé", "yy": "fgaßσς", "zz": "жзабвdc"}
+    rows = [(i, " ".join("".join(draw.choice(stems[lang]) for _ in range(draw.randrange(1, 6))) for _ in range(12)), lang)
+            for i, lang in enumerate(sorted(stems) * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit_language_model(docs, F.col("doc_id") < 45, landmarks=60, ridge=0.1)
+    sets = [plain_grams(t) for _, t, _ in rows]
+    kernel = np.array([[len(a & b) / math.sqrt(len(a) * len(b)) for b in sets[:45]] for a in sets])
+    wanted = np.array([[float(lang == name) for name in sorted(stems)] for _, _, lang in rows[:45]])
+    direct = np.maximum(kernel @ np.linalg.solve(kernel[:45] + 0.1 * np.eye(45), wanted), 0)
+    got = {r.doc_id: r for r in language.predict_language(docs, model, ["doc_id"]).collect()}
+    for i, values in enumerate(direct):
+        best, second = sorted(values)[::-1][:2]
+        assert got[i].lang_pred == sorted(stems)[values.argmax()]
+        assert abs(got[i].score - best / values.sum()) < 1e-4 and abs(got[i].margin - (best - second)) < 1e-4
+
+
+def test_language_of_a_very_long_text_takes_little_memory(tmp_path):
+    """One text of 16 million code points in a process of its own."""
+    import subprocess
+    import sys
+    code = """
+import random, resource
+from wayline.llm import language
+words = ["".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyzéü", k=6)) for i in range(5000)]
+text = " ".join(words * 460)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = language.distinct_ids(text, language.letter_classes())
+print(len(text), len(found), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True).stdout
+    size, found, mb = map(int, out.split())
+    assert size > 16_000_000 and found > 1000 and mb < 150
 
 
 def test_language_tells_many_scripts_apart(spark):
@@ -592,6 +636,16 @@ def test_pipeline_stages(spark, small_dir):
     assert last.count() == counts[-1]
 
 
+def test_language_stage_keeps_columns_of_any_name(spark):
+    rows = [(i, "the cat sat on the mat" if i % 2 else "der Hund lag auf dem Teppich", "en" if i % 2 else "de", i)
+            for i in range(40)] + [(40, "12 !!", "en", 40), (41, None, "de", 41), (42, "the cat sat", "en", 42)] * 2
+    docs = spark.createDataFrame([(*r, *r[3:] * 3) for r in rows],
+                                 "doc_id long, text string, lang string, score int, lang_pred int, Lead int, _score int")
+    from wayline.llm import stages
+    got = [tuple(r) for r in stages.language_id(spark, docs, "").collect()]
+    assert sorted(got) == sorted((*r, *r[3:] * 3) for r in rows if r[0] not in (40, 41))
+
+
 def test_pipeline_stages_on_hard_and_empty_tables(spark, small_dir, hard, empty):
     import corpus_pipeline
     for table in (hard, empty):

@@ -33,6 +33,18 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns of a table."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
 def arrow_type(df: DataFrame, column: str) -> pa.DataType:
     """The Arrow type a column has inside ``mapInArrow``."""
     return to_arrow_type(df.schema[column].dataType)

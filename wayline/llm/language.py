@@ -11,13 +11,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.common import mix, stored
+from wayline.llm.common import mix, slices, stored
 
 UNDETERMINED = "und"
 #: Ids of the blended spectrum: 1-, 2- and 3-grams of code points, hashed; 0 is the gap alone.
 SPECTRUM = 1 << 24
-#: Cells of a block of texts by n-grams.
-_CELLS = 1 << 24
+#: Code points whose n-grams are looked at together, and distinct n-grams of a text that are merged together.
+_BLOCK_CHARS, _MERGE = 1 << 16, 1 << 20
+#: A matrix product takes so many texts and n-grams at a time.
+_TEXTS, _GRAMS = 128, 8192
 
 
 @dataclass
@@ -26,11 +28,16 @@ class LanguageModel:
 
     languages: list[str]
     classes: np.ndarray  # 1 for every code point that is a letter
-    grams: np.ndarray  # ids of the n-grams that occur in landmarks
+    grams: np.ndarray  # sorted ids of the n-grams that occur in landmarks
     landmarks: np.ndarray  # presence of those n-grams, one row per landmark
     sizes: np.ndarray  # n-grams present in each landmark
     dual: np.ndarray  # one column of coefficients per language
 
+    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Kernel of texts, given as distinct ids, with every landmark."""
+        sizes = np.array([max(len(ids), 1) for ids in texts], dtype=np.float64)
+        return shared_grams(texts, self.grams, self.landmarks) / np.sqrt(np.outer(sizes, self.sizes))
+
 
 def remainder(id_column: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
@@ -44,12 +51,25 @@ def letter_classes(letters: list[int] | None = None) -> np.ndarray:
     return classes
 
 
-def class_string(text: str, classes: np.ndarray) -> np.ndarray:
-    """Letters of a text as code points, runs of other characters as one gap (0) at either side of a word."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    mapped = np.zeros(len(points) + 2, dtype=np.uint64)
-    mapped[1:-1] = points * classes[points]
-    return mapped[np.concatenate([[True], (mapped[1:] != 0) | (mapped[:-1] != 0)])]
+def symbol_blocks(text: str, classes: np.ndarray, size: int = 0) -> Iterator[np.ndarray]:
+    """Letters of a text as code points, runs of other characters as one gap (0) at either side of a word.
+
+    Comes in blocks of bounded length, each beginning with the last two symbols of the one before, so that no n-gram is cut.
+    """
+    tail, size = np.zeros(1, dtype=np.uint64), size or _BLOCK_CHARS
+    for at in range(0, len(text), size):
+        # letter by letter: the small final sigma depends on its neighbours, which may lie in another block
+        piece = text[at:at + size].lower().replace("\u03c2", "\u03c3")
+        points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        symbols = np.concatenate([tail, points.astype(np.uint64) * classes[points]])
+        gap = symbols == 0
+        gap[1:] &= gap[:-1]
+        gap[:len(tail)] = False
+        symbols = symbols[~gap]
+        yield symbols
+        tail = symbols[-2:]
+    if tail[-1] != 0:
+        yield np.append(tail, np.uint64(0))
 
 
 def spectrum_ids(symbols: np.ndarray) -> np.ndarray:
@@ -57,58 +77,85 @@ def spectrum_ids(symbols: np.ndarray) -> np.ndarray:
     two = (symbols[:-1] << np.uint64(21)) | symbols[1:]
     three = (two[:-1] << np.uint64(21)) | symbols[2:]
     grams = np.concatenate([symbols, two + np.uint64(1 << 62), three + np.uint64(1 << 63)])
-    ids = np.maximum((mix(grams) >> np.uint64(40)).astype(np.int64), 1)
+    ids = np.maximum((mix(grams) >> np.uint64(40)).astype(np.int32), 1)
     ids[:len(symbols)][symbols == 0] = 0
     return ids
 
 
-def mark_spectrum(symbols: np.ndarray, flags: np.ndarray) -> list[np.ndarray]:
-    """Set the flags of all 1-, 2- and 3-grams present; returns the ids, so that they can be cleared."""
-    ids = spectrum_ids(symbols)
-    flags[ids] = True
-    flags[0] = False
-    return [ids]
+def sorted_distinct(ids: np.ndarray) -> np.ndarray:
+    ids = np.sort(ids)
+    first = np.ones(len(ids), dtype=bool)
+    np.not_equal(ids[1:], ids[:-1], out=first[1:])
+    return ids[first]
+
+
+def distinct_ids(text: str, classes: np.ndarray) -> np.ndarray:
+    """Sorted ids of the n-grams present in a whole text, once each; empty if it has no letter."""
+    parts, held = [], 0
+    for symbols in symbol_blocks(text, classes):
+        parts.append(sorted_distinct(spectrum_ids(symbols)))
+        held += len(parts[-1])
+        if held > _MERGE and len(parts) > 1:
+            parts = [sorted_distinct(np.concatenate(parts))]
+            held = len(parts[0])
+    ids = parts[0] if len(parts) == 1 else sorted_distinct(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.int32)
+    return ids[1:] if len(ids) and ids[0] == 0 else ids
+
+
+def shared_grams(texts: list[np.ndarray], grams: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Number of n-grams that each text shares with each landmark: products of presence matrices, block by block."""
+    places = []
+    for ids in texts:
+        at = np.searchsorted(grams, ids)
+        at[at == len(grams)] = 0
+        places.append(at[grams[at] == ids] if len(grams) else at[:0])
+    shared = np.zeros((len(texts), len(landmarks)), dtype=np.float64)
+    for first in range(0, len(grams), _GRAMS):
+        block = landmarks[:, first:first + _GRAMS].astype(np.float32)
+        presence = np.zeros((len(texts), block.shape[1]), dtype=np.float32)
+        for i, at in enumerate(places):
+            a, b = np.searchsorted(at, [first, first + _GRAMS])
+            presence[i, at[a:b] - first] = 1
+        shared += presence @ block.T
+    return shared
 
 
-def distinct_ids(symbols: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Ids of the 1-, 2- and 3-grams present, once each; ``seen`` is a table for reuse, of any content."""
-    ids = spectrum_ids(symbols)
-    places = np.arange(len(ids), dtype=seen.dtype)
-    seen[ids] = places
-    return ids[(seen[ids] == places) & (ids != 0)]
-
-
-def presence_of(texts: list[np.ndarray], place: np.ndarray, width: int) -> np.ndarray:
-    """Presence of ``width`` n-grams in texts given as distinct ids; ``place`` gives each id's column or -1."""
-    presence = np.zeros((len(texts), width), dtype=np.float32)
-    for i, ids in enumerate(texts):
-        at = place[ids]
-        presence[i, at[at >= 0]] = 1
-    return presence
+def _spectra(classes: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], _TEXTS):
+                out = [distinct_ids(text.as_py(), classes.value).astype("<i4").tobytes() for text in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())],
+                                                 names=["lang", "draw", "grams"])
 
+    return run
 
-def places_of(grams: np.ndarray) -> np.ndarray:
-    place = np.full(SPECTRUM, -1, dtype=np.int32)
-    place[grams] = np.arange(len(grams), dtype=np.int32)
-    return place
 
+def _normal_equations(model: Broadcast, root: Broadcast):
+    """Sums over the sample's rows of a task: features' products with themselves and with the wanted outputs."""
 
-def _spectra(classes: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SPECTRUM, dtype=np.int32)
+        m, count, total, wanted = LanguageModel(**model.value), 0, 0, 0
+        code = {lang: i for i, lang in enumerate(m.languages)}
         for batch in batches:
-            out = [np.sort(distinct_ids(class_string(text, classes.value), seen)).astype("<i4").tobytes()
-                   for text in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             names=["lang", "draw", "grams"])
+            for part in slices([batch], _TEXTS):
+                texts = [np.frombuffer(g.as_py(), "<i4") for g in part.column(1)]
+                features = m.kernel(texts) @ root.value
+                target = np.zeros((len(texts), len(code)))
+                target[np.arange(len(texts)), [code[lang] for lang in part.column(0).to_pylist()]] = 1
+                total, wanted, count = total + features.T @ features, wanted + features.T @ target, count + len(texts)
+        if count:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()),
+                                              pa.array([wanted.tobytes()], pa.binary())], names=["total", "wanted"])
 
     return run
 
 
-def labelled_sample(docs: DataFrame, trains: Column, per_language: int, most: int, id_column: str, text_column: str,
-                    lang_column: str) -> DataFrame:
+def labelled_sample(docs: DataFrame, trains: Column, per_language: int, most: int, most_bytes: int, id_column: str,
+                    text_column: str, lang_column: str) -> DataFrame:
     """A seeded sample of labelled texts: (lang, draw, text), equal numbers per language as far as they go."""
-    known = docs.filter(trains & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
+    docs = docs.filter(F.octet_length(text_column) <= most_bytes)
+    known = docs.filter(trains & F.col(lang_column).isNotNull()).select(
         F.col(lang_column).alias("lang"), F.col(id_column).cast("string").alias("doc"),
         F.xxhash64(F.lit("language"), F.col(id_column).cast("string")).alias("draw"))
     sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
@@ -123,7 +170,7 @@ def labelled_sample(docs: DataFrame, trains: Column, per_language: int, most: in
     drawn = stored(low.withColumn("at", F.row_number().over(in_language)).filter(F.col("at") <= each)
                    .select("lang", "doc", "draw").distinct(), "language-sample")
     texts = docs.select(F.col(lang_column).alias("lang"), F.col(id_column).cast("string").alias("doc"),
-                        F.col(text_column).alias("text")).filter(F.col("text").isNotNull())
+                        F.col(text_column).alias("text"))
     # the sample is at most ``most`` rows (or one per language)
     return stored(texts.join(F.broadcast(drawn), ["lang", "doc"]).groupBy("lang", "doc", "draw").agg(
         F.min("text").alias("text")).select("lang", "draw", "text"), "language-texts")
@@ -131,85 +178,87 @@ def labelled_sample(docs: DataFrame, trains: Column, per_language: int, most: in
 
 def fit_language_model(docs: DataFrame, trains: Column, id_column: str = "doc_id", text_column: str = "text",
                        lang_column: str = "lang", per_language: int = 300, landmarks: int = 192, most: int = 20_000,
-                       ridge: float = 1e-2) -> LanguageModel | None:
-    """Fit on at most ``per_language`` labelled texts of each language and ``most`` in all (seeded by id).
+                       ridge: float = 1e-2, most_bytes: int = 1 << 18) -> LanguageModel | None:
+    """Fit on at most ``per_language`` labelled texts of each language and ``most`` in all (seeded by id), of texts of
+    at most ``most_bytes`` each.
 
     Texts become the sets of 1- to 3-grams of their letters, of any script; the kernel of two texts is the number of n-grams
     both have, over the square root of the product of their numbers. Some of the sample (``landmarks`` in all,
     one per language at least) span the Nystrom features; ridge regression gives each language against
-    the rest. None if nothing is labelled. Only n-gram ids of the sample reach the driver.
+    the rest. None if nothing is labelled. The landmarks' n-grams reach the driver, and of the other texts only
+    the sums of the normal equations, one pair of matrices per task.
     """
     spark = docs.sparkSession
-    sample = labelled_sample(docs, trains, per_language, most, id_column, text_column, lang_column)
+    sample = labelled_sample(docs, trains, per_language, most, most_bytes, id_column, text_column, lang_column)
     classes = letter_classes()
-    rows = sample.select("lang", "draw", "text").mapInArrow(
-        _spectra(spark.sparkContext.broadcast(classes)), "lang string, draw long, grams binary").collect()
-    rows = sorted(((r.lang, r.draw, np.frombuffer(bytes(r.grams), "<i4")) for r in rows), key=lambda r: r[:2])
-    rows = [r for r in rows if len(r[2])]
-    languages = sorted({r[0] for r in rows})
+    spectra = stored(sample.select("lang", "draw", "text").mapInArrow(
+        _spectra(spark.sparkContext.broadcast(classes)), "lang string, draw long, grams binary")
+        .filter(F.octet_length("grams") > 0), "language-spectra")
+    languages = sorted(r[0] for r in spectra.select("lang").distinct().collect())
     if not languages:
         return None
-    each, taken, chosen = max(1, landmarks // len(languages)), dict.fromkeys(languages, 0), []
-    for i, row in enumerate(rows):
-        if taken[row[0]] < each:
-            taken[row[0]] += 1
-            chosen.append(i)
-    grams = np.unique(np.concatenate([rows[i][2] for i in chosen]))
-    place, block = places_of(grams), max(1, _CELLS // len(grams))
-    marked = presence_of([rows[i][2] for i in chosen], place, len(grams))
-    sizes = np.array([len(r[2]) for r in rows], dtype=np.float64)
-    kernel = np.concatenate([presence_of([r[2] for r in rows[a:a + block]], place, len(grams)) @ marked.T
-                             for a in range(0, len(rows), block)]).astype(np.float64)
-    kernel /= np.sqrt(np.outer(sizes, sizes[chosen]))
-    values, vectors = np.linalg.eigh(kernel[chosen])
+    in_language = Window.partitionBy("lang").orderBy("draw")
+    chosen = spectra.withColumn("at", F.row_number().over(in_language)).filter(
+        F.col("at") <= max(1, landmarks // len(languages))).orderBy("lang", "draw").select("grams").collect()
+    chosen = [np.frombuffer(bytes(r[0]), "<i4") for r in chosen]
+    grams = np.unique(np.concatenate(chosen))
+    marked = np.zeros((len(chosen), len(grams)), dtype=np.uint8)
+    for i, ids in enumerate(chosen):
+        marked[i, np.searchsorted(grams, ids)] = 1
+    model = LanguageModel(languages, classes, grams, marked, np.array([len(ids) for ids in chosen], dtype=np.float64),
+                          np.zeros((len(chosen), len(languages))))
+    values, vectors = np.linalg.eigh(model.kernel(chosen))
     root = vectors * (1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
-    features = kernel @ root
-    wanted = np.array([[float(r[0] == lang) for lang in languages] for r in rows])
-    weights = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ wanted)
-    return LanguageModel(languages, classes, grams, marked.astype(np.uint8), sizes[chosen], root @ weights)
+    sums = spectra.select("lang", "grams").mapInArrow(
+        _normal_equations(spark.sparkContext.broadcast(vars(model)), spark.sparkContext.broadcast(root)),
+        "total binary, wanted binary").collect()
+    # in a fixed order: a sum of doubles depends on it
+    sums = sorted((bytes(r.total), bytes(r.wanted)) for r in sums)
+    total = np.sum([np.frombuffer(t) for t, _ in sums], axis=0).reshape(len(chosen), -1)
+    wanted = np.sum([np.frombuffer(w) for _, w in sums], axis=0).reshape(len(chosen), -1)
+    model.dual = root @ np.linalg.solve(total + ridge * np.eye(len(chosen)), wanted)
+    return model
 
 
-def _predict(model: Broadcast, extra: int, block: int = 256):
-    """Append (lang_pred, score) to the first ``extra`` columns; the last column is the text."""
+def _predict(model: Broadcast, extra: int, text_at: int):
+    """Append (lang_pred, score, margin) to the first ``extra`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**model.value)
-        landmarks = m.landmarks.T.astype(np.float32)
-        seen, place = np.zeros(SPECTRUM, dtype=np.int32), places_of(m.grams)
-        size = min(block, max(1, _CELLS // len(m.grams)))
-        for batch in batches:
-            for at in range(0, batch.num_rows, size):
-                part = batch.slice(at, size)
-                texts = [distinct_ids(class_string(text.as_py() or "", m.classes), seen) for text in part.column(extra)]
-                sizes = np.array([len(ids) for ids in texts], dtype=np.float64)
-                presence = presence_of(texts, place, len(m.grams))
-                kernel = (presence @ landmarks) / np.sqrt(np.outer(np.maximum(sizes, 1), m.sizes))
-                values = np.maximum(kernel @ m.dual, 0)
-                total = values.sum(axis=1)
-                best = values.argmax(axis=1)
-                score = values[np.arange(len(best)), best] / np.maximum(total, 1e-12)
-                names = [m.languages[b] if s else UNDETERMINED for b, s in zip(best.tolist(), sizes.tolist())]
-                score = np.where(sizes > 0, np.clip(score, 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*part.columns[:extra], pa.array(names), pa.array(score)],
-                                                 names=[*part.schema.names[:extra], "lang", "score"])
+        for part in slices(batches, _TEXTS):
+            texts = [distinct_ids(text.as_py() or "", m.classes) for text in part.column(text_at)]
+            lettered = np.array([len(ids) > 0 for ids in texts])
+            values = np.where(lettered[:, None], np.maximum(m.kernel(texts) @ m.dual, 0), 0)
+            best = values.argmax(axis=1)
+            top = values[np.arange(len(best)), best]
+            second = np.partition(values, -2, axis=1)[:, -2] if values.shape[1] > 1 else np.zeros(len(best))
+            score = np.clip(top / np.maximum(values.sum(axis=1), 1e-12), 0, 1)
+            names = [m.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), lettered.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:extra], pa.array(names), pa.array(score), pa.array(top - second)],
+                names=[*part.schema.names[:extra], "lang", "score", "margin"])
 
     return run
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_column: str = "text",
-                     as_names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The columns ``keep`` with the predicted language and its score, from the whole text alone.
+                     as_names: tuple[str, str, str] = ("lang_pred", "score", "margin")) -> DataFrame:
+    """The columns ``keep`` with the predicted language, its score and its margin, from the whole text alone.
 
-    The score is the language's share of all positive outputs. A NULL text, one without letters, and any text
-    when nothing was learned are ``und`` with score 0. Ties go to the first name. Columns not in ``keep`` are not
-    read.
+    The score is the language's share of all positive outputs, the margin its output less the second best one (no
+    matter how many languages there are). A NULL text, one without letters, and any text
+    when nothing was learned are ``und`` with score and margin 0. Ties go to the first name. Columns not in ``keep``
+    are not read.
     """
     if model is None:
-        return docs.select(*keep, F.lit(UNDETERMINED).alias(as_names[0]), F.lit(0.0).alias(as_names[1]))
+        return docs.select(*keep, F.lit(UNDETERMINED).alias(as_names[0]), F.lit(0.0).alias(as_names[1]),
+                           F.lit(0.0).alias(as_names[2]))
     types = [docs.schema[c].dataType.simpleString() for c in keep]
-    ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double"])
-    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_column).alias("text"))
-    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep)), ddl)
+    ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double, margin double"])
+    passed = keep if text_column in keep else [*keep, text_column]  # the text goes through once
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(passed)])
+    scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep),
+                                      passed.index(text_column)), ddl)
     return scored.toDF(*keep, *as_names)
 
 
@@ -225,4 +274,4 @@ def identify_languages(docs: DataFrame, id_column: str = "doc_id", text_column:
     model = fit_language_model(docs, part != 2, id_column, text_column, lang_column)
     ready = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(part == 2, F.lit(False)).alias("held_out"),
                         F.col(text_column).alias("text"))
-    return predict_language(ready, model, ["doc_id", "held_out"])
+    return predict_language(ready, model, ["doc_id", "held_out"]).drop("margin")
