@@ -162,6 +162,21 @@ def test_words_give_the_ids_of_the_text(words, text):
     assert words.text(text) == words.whole(text)
 
 
+@given(st.lists(st.text(alphabet="aBéÉßÄſĲŉǅɏzµªİIi.,:!-<>|'sT1\u0301", max_size=7), max_size=9))
+@settings(max_examples=600, deadline=None)
+def test_plain_words_give_the_ids_of_the_text(words, parts):
+    text = " ".join(parts)
+    assert words.text(text) == words.whole(text)
+
+
+def test_words_of_tokenizers_without_plain_letters():
+    import tokenizers
+    bare = tokenizers.Tokenizer(tokenizers.models.WordLevel({"a": 0, "b": 1, "u": 2}, unk_token="u"))
+    bare.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    made = records.Words(bare.to_str().encode())
+    assert not made.letters and made.text("a b c a") == made.whole("a b c a") == bytes([0, 0, 1, 0, 2, 0, 0, 0])
+
+
 def test_words_in_pieces(words, monkeypatch):
     text = " ".join(f"Wort{i}\n're it's" for i in range(500)) + " <|endoftext|> "
     whole = words.whole(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -78,7 +79,12 @@ def load_tokenizer(spark: SparkSession, path: str) -> Broadcast:
 
 
 class Words(dict):
-    """Token ids of words as bytes, kept for the words met lately; the library encodes each new word."""
+    """Token ids of words as bytes; words met lately are kept, in two generations of bounded size.
+
+    The library encodes each new word. A word of plain letters, with or without punctuation behind it, goes straight to the
+    tokenizer's model: the normal form of each letter is asked of the library once, and such a run of letters is one
+    piece to the model. All other words pass through the whole tokenizer.
+    """
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -86,15 +92,56 @@ class Words(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self[""] = b""
+        self.older, self.runs, self.older_runs = {}, {}, {}
+        self.letters = self._plain_letters()
+        known = "".join(map(chr, self.letters))
+        self.plain = re.compile(f"([{known}]+)([!-&(-/:;=-@\\[-`{{-~]*)") if known else None
+
+    def _plain_letters(self) -> dict[int, str]:
+        """Letters below 0x250 that are one letter in normal form, and what the model reads for each; none if the
+        tokenizer has no normal form or no splitting rule to ask, or takes a run of them apart."""
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is None or split is None:
+            return {}
+        found = {}
+        for c in filter(str.isalpha, map(chr, range(0x250))):
+            one = normal.normalize_str(c)
+            pieces = split.pre_tokenize_str(one)
+            if len(one) == 1 and one.isalpha() and len(pieces) == 1:
+                found[ord(c)] = pieces[0][0]
+        every = "".join(map(chr, found))
+        whole = [p for p, _ in split.pre_tokenize_str(normal.normalize_str(f"{every}, {every}"))]
+        return found if whole[:1] == ["".join(found.values())] and len(whole) == 3 else {}
+
+    def _encode(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
+
+    def _run(self, letters: str) -> bytes:
+        known = letters.translate(self.letters)
+        ids = self.runs.get(known)
+        if ids is None:
+            ids = self.older_runs.get(known)
+            if ids is None:
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(known)], dtype=f"<u{self.width}").tobytes()
+            if len(self.runs) >= KEPT_WORDS:
+                self.older_runs, self.runs = self.runs, {}
+            self.runs[known] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
-        if len(word) <= KEPT_LETTERS:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
+        ids = self.older.get(word)
+        if ids is None:
+            if not word:
+                ids = b""
+            elif len(word) > KEPT_LETTERS:
+                return self._encode(word)
+            else:
+                plain = self.plain and self.plain.fullmatch(word)
+                ids = self._run(plain[1]) + self[plain[2]] if plain else self._encode(word)
+        if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
     def text(self, text: str) -> bytes:
@@ -110,7 +157,7 @@ class Words(dict):
 
     def whole(self, text: str) -> bytes:
         """Ids of a text encoded at once."""
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
+        return self._encode(text)
 
 
 def _blocks(tokenizer: Broadcast, end_id: int, by_word: bool):
