@@ -221,7 +221,7 @@ def fit_language_model(docs: DataFrame, trains: Column, id_column: str = "doc_id
 
 
 def _predict(model: Broadcast, extra: int, text_at: int):
-    """Append (lang_pred, score, margin) to the first ``extra`` columns."""
+    """Append (lang_pred, score, output) to the first ``extra`` columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(**model.value)
@@ -231,30 +231,29 @@ def _predict(model: Broadcast, extra: int, text_at: int):
             values = np.where(lettered[:, None], np.maximum(m.kernel(texts) @ m.dual, 0), 0)
             best = values.argmax(axis=1)
             top = values[np.arange(len(best)), best]
-            second = np.partition(values, -2, axis=1)[:, -2] if values.shape[1] > 1 else np.zeros(len(best))
             score = np.clip(top / np.maximum(values.sum(axis=1), 1e-12), 0, 1)
             names = [m.languages[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), lettered.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:extra], pa.array(names), pa.array(score), pa.array(top - second)],
-                names=[*part.schema.names[:extra], "lang", "score", "margin"])
+                [*part.columns[:extra], pa.array(names), pa.array(score), pa.array(top)],
+                names=[*part.schema.names[:extra], "lang", "score", "output"])
 
     return run
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_column: str = "text",
-                     as_names: tuple[str, str, str] = ("lang_pred", "score", "margin")) -> DataFrame:
-    """The columns ``keep`` with the predicted language, its score and its margin, from the whole text alone.
+                     as_names: tuple[str, str, str] = ("lang_pred", "score", "output")) -> DataFrame:
+    """The columns ``keep`` with the predicted language, its score and its output, from the whole text alone.
 
-    The score is the language's share of all positive outputs, the margin its output less the second best one (no
-    matter how many languages there are). A NULL text, one without letters, and any text
-    when nothing was learned are ``und`` with score and margin 0. Ties go to the first name. Columns not in ``keep``
+    The output is that of the language's regression, which learned 1 for its texts and 0 for others; it does not depend on the
+    number of languages. The score is its share of all positive outputs. A NULL text, one without letters, and any text
+    when nothing was learned are ``und`` with score and output 0. Ties go to the first name. Columns not in ``keep``
     are not read.
     """
     if model is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias(as_names[0]), F.lit(0.0).alias(as_names[1]),
                            F.lit(0.0).alias(as_names[2]))
     types = [docs.schema[c].dataType.simpleString() for c in keep]
-    ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double, margin double"])
+    ddl = ", ".join([*[f"c{i} {t}" for i, t in enumerate(types)], "lang string, score double, output double"])
     passed = keep if text_column in keep else [*keep, text_column]  # the text goes through once
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(passed)])
     scored = rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(vars(model)), len(keep),
@@ -274,4 +273,4 @@ def identify_languages(docs: DataFrame, id_column: str = "doc_id", text_column:
     model = fit_language_model(docs, part != 2, id_column, text_column, lang_column)
     ready = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(part == 2, F.lit(False)).alias("held_out"),
                         F.col(text_column).alias("text"))
-    return predict_language(ready, model, ["doc_id", "held_out"]).drop("margin")
+    return predict_language(ready, model, ["doc_id", "held_out"]).drop("output")

@@ -25,8 +25,8 @@ HEAD = "<BiQ"
 FILE_TEXT_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
 MAX_VOCABULARY_BYTES = 16 << 20
-#: Words whose ids a task keeps, and the longest of them.
-KEPT_WORDS, KEPT_LETTERS = 1 << 17, 48
+#: Words whose ids a worker keeps (twice, with those of the generation before), and the longest of them.
+KEPT_WORDS, KEPT_LETTERS = 1 << 18, 48
 PIECE_CHARS = 1 << 20
 
 
@@ -122,7 +122,7 @@ class Words(dict):
         if ids is None:
             ids = self.older_runs.get(known)
             if ids is None:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(known)], dtype=f"<u{self.width}").tobytes()
+                ids = b"".join([t.id.to_bytes(self.width, "little") for t in self.tokenizer.model.tokenize(known)])
             if len(self.runs) >= KEPT_WORDS:
                 self.older_runs, self.runs = self.runs, {}
             self.runs[known] = ids
@@ -160,11 +160,19 @@ class Words(dict):
         return self._encode(text)
 
 
+def _words(tokenizer: Broadcast) -> Words:
+    """Built once in a worker process and kept with the broadcast, which stays there when a task ends."""
+    words = getattr(tokenizer, "words", None)
+    if words is None:
+        words = tokenizer.words = Words(tokenizer.value)
+    return words
+
+
 def _blocks(tokenizer: Broadcast, end_id: int, by_word: bool):
     schema = pa.schema([("value", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes]]:
-        words, held, size = Words(tokenizer.value), [], 0
+        words, held, size = _words(tokenizer), [], 0
         end = np.array([end_id], dtype=f"<u{words.width}").tobytes()
         encode = words.text if by_word else words.whole
         for batch in batches:
