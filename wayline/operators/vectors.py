@@ -1,13 +1,15 @@
-"""Exact nearest vectors by cosine. The index is never sorted or collected; only the best k rows per
-query leave a task."""
+"""Nearest vectors by cosine: all rows against all queries in tiles, or only the rows of probed hash buckets.
+
+Neither the index nor the queries pass through the driver, and only the best k rows per query leave a task."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +18,17 @@ from wayline.operators.relational import filter_optional_param
 from wayline.operators.windows import window_top_n_per_group
 
 TOP_K = 8
-FRAGMENT_BYTES = 32 << 20      # queries that travel with the tasks at a time
+FRAGMENT_BYTES = 32 << 20      # queries a task holds at a time
+ROW_BYTES = 128 << 20          # index rows that stream past them in one task
+LEAST_ROWS = 1024              # a tile is not cut finer than this to occupy more tasks
 QUERY_SLICE = 256              # queries scored at once inside a task
+ROW_SLICE = 4096               # rows scored at once
 _SCALE = 1 << 26               # unit vectors as whole numbers: their products stay below 2**53, so sums are exact
 
+# the hash index: tables of sign patterns of random planes, and the patterns a query looks into
+TABLES, BITS, PROBES = 4, 6, 16
+MOST_CELLS = 1 << 16
+
 
 def search_one(index: DataFrame, vector: list[float], k: int = TOP_K, city: str | None = None,
                vec_col: str = "embedding", id_col: str = "review_id") -> DataFrame:
@@ -79,45 +88,177 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, city: str | None = None,
                        vec_col: str = "embedding", id_col: str = "review_id", query_id: str = "query_id",
-                       query_vec: str = "query_vector", fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+                       query_vec: str = "query_vector", fragment_bytes: int = FRAGMENT_BYTES,
+                       method: str = "exact", tables: int = TABLES, bits: int = BITS, probes: int = PROBES) -> DataFrame:
     """Best k index rows for each query: (query_id, id, score, rank), ties by id.
 
-    The queries are cut into fragments of at most about ``fragment_bytes``; each travels with the tasks over one
-    pass of the index, whose rows stay where they are. A task emits k rows per query, and a grouped first-k
-    (pruned before its shuffle) gives the final answer. The work is rows times queries, as the search is exact.
+    ``exact`` scores every row for every query: blocks of queries and of rows are numbered, each pair of blocks is a
+    tile, and a task holds a tile's queries (about ``fragment_bytes``) while its rows stream past. The work
+    is rows times queries.
+
+    ``lsh`` scores only the rows that share a bucket with a query in one of ``tables`` hash tables of ``bits`` random
+    planes, for the ``probes`` buckets nearest to the query in each; scores and ranks of what it finds are exact. How much
+    it saves depends on the vectors: where neighbours lie close, few probes find them. Independent random
+    vectors have no close neighbours, and the default probes, chosen to find 0.9 of the neighbours even
+    there, read two thirds of such a table. Build the index once with ``lsh_index`` where it is searched often.
+
+    A task emits k rows per query, and a grouped first-k (pruned before its shuffle) gives the final answer.
     """
     rows = filter_optional_param(index, "city", city).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).filter("v is not null")
-    asked = queries.select(F.col(query_id).cast("bigint").alias("qid"), F.col(query_vec).alias("q")).filter(
-        "q is not null")
-    out = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType()),
-                        T.StructField("key", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    cells = asked.agg(F.coalesce(F.sum(F.size("q")), F.lit(0)).alias("cells")).first()["cells"]
-    fragments = max(1, -(-cells * 8 // fragment_bytes))
-    partial = None
-    for i in range(fragments):
-        sent = asked.filter(F.pmod(F.xxhash64("qid"), F.lit(fragments)) == i).toPandas()
-        if sent.empty:
-            continue
-        shared = index.sparkSession.sparkContext.broadcast((sent["qid"].to_numpy(), _matrix(sent["q"])))
-        part = rows.mapInPandas(_scorer(shared, k), out)
-        partial = part if partial is None else partial.unionByName(part)
-    if partial is None:
-        partial = index.sparkSession.createDataFrame([], out)
+    asked = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(query_vec).alias("v")).filter(
+        "v is not null")
+    if method == "exact":
+        cell = F.lit(0).alias("cell")
+        return _search(rows.select(cell, "*"), asked.select(cell, "*"), k, fragment_bytes, 1)
+    if method != "lsh":
+        raise ValueError(f"unknown method {method}")
+    return search_lsh(lsh_index(rows, tables, bits, "v", "id"), asked, k, "id", "v", fragment_bytes, tables, bits, probes)
+
+
+def random_planes(count: int, width: int) -> np.ndarray:
+    """Components of seeded planes, uniform in [-0.5, 0.5): 8 digits of an md5 of plane and place."""
+    named = (f"plane|{p}|{j}" for p in range(count) for j in range(width))
+    draws = [int(hashlib.md5(name.encode()).hexdigest()[:8], 16) for name in named]
+    return np.array(draws, dtype=np.float64).reshape(count, width) / 2.0**32 - 0.5
+
+
+def _buckets(tables: int, bits: int, probes: int):
+    """Cells (table, sign pattern) of each vector: its own, or those with the least margins to cross."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        planes, codes = None, np.arange(1 << bits)
+        signs = (codes[:, None] >> np.arange(bits)) & 1
+        for frame in frames:
+            for at in range(0, len(frame), QUERY_SLICE):
+                part = frame.iloc[at:at + QUERY_SLICE]
+                vectors = _matrix(part["v"])
+                if planes is None or planes.shape[1] != vectors.shape[1]:
+                    planes = random_planes(tables * bits, vectors.shape[1])
+                margins = (vectors @ planes.T).reshape(len(part), tables, bits)
+                if probes:
+                    crossed = (margins[:, :, None, :] > 0) != (signs == 1)
+                    cost = (crossed * np.abs(margins)[:, :, None, :]).sum(axis=3)
+                    own = np.argsort(cost, axis=2, kind="stable")[:, :, :probes]
+                else:
+                    own = ((margins > 0) @ (1 << np.arange(bits)))[:, :, None]
+                cells = (own + (np.arange(tables) << bits)[:, None]).reshape(len(part), -1)
+                yield pd.DataFrame({"cells": list(cells), "id": part["id"].to_numpy(), "v": part["v"].to_numpy()})
+
+    return run
+
+
+def _in_cells(rows: DataFrame, tables: int, bits: int, probes: int) -> DataFrame:
+    if tables << bits > MOST_CELLS:
+        raise ValueError(f"at most {MOST_CELLS} buckets")
+    kind = rows.schema["v"].dataType.simpleString()
+    marked = rows.select("id", "v").mapInPandas(_buckets(tables, bits, probes), f"cells array<int>, id bigint, v {kind}")
+    return marked.select(F.explode("cells").alias("cell"), "id", "v")
+
+
+def lsh_index(index: DataFrame, tables: int = TABLES, bits: int = BITS, vec_col: str = "embedding",
+              id_col: str = "review_id") -> DataFrame:
+    """The index as a table (cell, id, v): every vector once for each hash table, under the bucket it falls into.
+
+    A bucket is the pattern of signs towards ``bits`` seeded planes; nothing is fitted. NULL vectors are left
+    out. Write it sorted or partitioned by ``cell`` to search it many times.
+    """
+    rows = index.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).filter("v is not null")
+    return _in_cells(rows, tables, bits, 0)
+
+
+def search_lsh(cells: DataFrame, queries: DataFrame, k: int = TOP_K, query_id: str = "query_id",
+               query_vec: str = "query_vector", fragment_bytes: int = FRAGMENT_BYTES, tables: int = TABLES,
+               bits: int = BITS, probes: int = PROBES) -> DataFrame:
+    """Best k rows of the probed buckets of an ``lsh_index`` with the same ``tables`` and ``bits``."""
+    asked = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(query_vec).alias("v")).filter(
+        "v is not null")
+    return _search(cells, _in_cells(asked, tables, bits, min(probes, 1 << bits)), k, fragment_bytes, tables)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """(queries, wanted, found, recall) of an approximate result against the exact one."""
+    hit = found.select("query_id", "id", F.lit(1).alias("hit"))
+    return exact.join(hit, ["query_id", "id"], "left").agg(
+        F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("wanted"), F.count("hit").alias("found")
+    ).withColumn("recall", F.try_divide(F.col("found"), F.col("wanted")))
+
+
+_FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("id", T.LongType()),
+                       T.StructField("key", T.DoubleType()), T.StructField("score", T.DoubleType())])
+
+
+def _search(rows: DataFrame, asked: DataFrame, k: int, fragment_bytes: int, copies: int) -> DataFrame:
+    """Rows (cell, id, v) scored for the queries (cell, id, v) of their cell; a pair meets in at most ``copies`` cells."""
+    spark = rows.sparkSession
+    tiles, partitions = _tiles(spark, rows, asked, fragment_bytes)
+    at = (F.col("first") + F.col("a") * F.col("down") + F.col("r")).alias("tile")
+
+    def block(count: str, salt: str):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(count))
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = asked.join(tiles, "cell").withColumn("a", block("across", "query")).withColumn("r", every("down"))
+    right = rows.join(tiles, "cell").withColumn("r", block("down", "row")).withColumn("a", every("across"))
+    both = left.select(at, F.lit(0).alias("kind"), "id", F.col("v").cast("array<double>").alias("v")).unionByName(
+        right.select(at, F.lit(1).alias("kind"), "id", F.col("v").cast("array<double>").alias("v")))
+    dealt = both.repartitionById(partitions, F.pmod("tile", F.lit(partitions)).cast("int")).sortWithinPartitions(
+        "tile", "kind")
+    partial = dealt.mapInPandas(_scorer(k), _FOUND)
     order = [F.col("key").desc_nulls_last(), F.col("id").asc()]
-    best = window_top_n_per_group(partial, ["query_id"], order, k, spread_by=["id"])
+    best = window_top_n_per_group(partial, ["query_id"], order, k * copies, spread_by=["id"])
+    if copies > 1:     # a pair met in several cells has one key and one score
+        best = window_top_n_per_group(best.dropDuplicates(["query_id", "id"]), ["query_id"], order, k, spread_by=["id"])
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
     return ranked.select("query_id", "id", "score", "rank")
 
 
-def _scorer(shared, k: int):
+def _tiles(spark: SparkSession, rows: DataFrame, asked: DataFrame, fragment_bytes: int) -> tuple[DataFrame, int]:
+    """(cell, first, across, down): the blocks of queries and of rows of each cell, and the number of tasks.
+
+    One row per cell that has both; there are at most ``MOST_CELLS``, so the table is broadcast.
+    """
+    held = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"))
+    counts = held.join(asked.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cell").collect()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan, first, streams = [], 0, 0
+    for cell, n, width, m in sorted(tuple(r) for r in counts):
+        size = max(1, width) * 8
+        across = -(-m // max(1, fragment_bytes // size))
+        least = -(-n * size // ROW_BYTES)
+        down = max(least, min(-(-partitions // (len(counts) * across)), -(-n // LEAST_ROWS)))
+        plan.append((cell, first, across, down))
+        first, streams = first + across * down, streams + across * least
+    tiles = spark.createDataFrame(plan, "cell int, first long, across long, down long")
+    return F.broadcast(tiles), max(1, min(first, max(partitions, streams)))
+
+
+def _scorer(k: int):
+    """Frames arrive by tile, queries first: they are kept, the rows stream past them."""
+
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (qids, q), best = shared.value, None
+        tile, held, queries, best = None, [], None, None
         for frame in frames:
-            if len(frame):
-                best = _fold(best, _block_best(frame["id"].to_numpy(), _matrix(frame["v"]), q, k), k)
+            for number, part in frame.groupby("tile", sort=True):
+                if number != tile:
+                    if best is not None:
+                        yield _rows(queries[0], best)
+                    tile, held, queries, best = number, [], None, None
+                asked = part["kind"].to_numpy() == 0
+                if asked.any():
+                    own = part[asked]
+                    held.append((own["id"].to_numpy(), _matrix(own["v"])))
+                others = part[~asked]
+                if len(others) and held:
+                    if queries is None:
+                        queries = tuple(np.concatenate(c) for c in zip(*held))
+                    for at in range(0, len(others), ROW_SLICE):
+                        rows = others.iloc[at:at + ROW_SLICE]
+                        best = _fold(best, _block_best(rows["id"].to_numpy(), _matrix(rows["v"]), queries[1], k), k)
         if best is not None:
-            yield _rows(qids, best)
+            yield _rows(queries[0], best)
 
     return score
 

@@ -149,10 +149,10 @@ hits as (select query_id, id, score, row_number() over (partition by query_id or
          from scored qualify rank <= 8)"""
 
 
-def _search(t):
+def _search(t, **options):
     index = t["embeddings"].select(F.col("vec_id").alias("review_id"), "embedding")
     asked = t["embeddings"].select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    return vectors.vector_search_topk(index, asked)
+    return vectors.vector_search_topk(index, asked, **options)
 
 
 @query("vector_search_topk", f"""
@@ -161,6 +161,40 @@ def _(t):
     return _search(t).withColumn("score", F.round("score", 6))
 
 
+@query("vector_search_lsh", """
+with planes as (
+  select p, list(('0x' || substr(md5('plane|' || p || '|' || j), 1, 8))::bigint / 4294967296.0::double - 0.5 order by j) as w
+  from range(24) a(p), range(64) b(j) group by p),
+margins as (
+  select vec_id, p // 6 as tbl, p % 6 as bit, list_inner_product(w, cast(embedding as double[])) as margin
+  from {embeddings}, planes),
+owned as (
+  select vec_id, tbl, sum(case when margin > 0 then (1::bigint << bit::bigint) else 0 end)::bigint as code
+  from margins group by 1, 2),
+probed as (
+  select vec_id, tbl, code from (
+    select vec_id, tbl, code, sum(case when (margin > 0) <> (((code >> bit::bigint) & 1) = 1) then abs(margin) else 0 end) as cost
+    from margins, range(64) c(code) group by 1, 2, 3)
+  qualify row_number() over (partition by vec_id, tbl order by cost, code) <= 16),
+near as (
+  select distinct p.vec_id as query_id, o.vec_id as id from probed p join owned o using (tbl, code)),
+scored as (
+  select query_id, id, list_cosine_similarity(cast(q.embedding as double[]), cast(i.embedding as double[])) as score
+  from near join {embeddings} q on q.vec_id = query_id join {embeddings} i on i.vec_id = id)
+select query_id, id, round(score, 6) as score,
+  cast(row_number() over (partition by query_id order by score desc, id) as integer) as rank
+from scored qualify rank <= 8""")
+def _(t):
+    return _search(t, method="lsh").withColumn("score", F.round("score", 6))
+
+
+@query("vector_search_recall", """
+select count(*) as queries, count(*) * 8 as wanted, true as enough from {embeddings}""")
+def _(t):
+    measured = vectors.recall(_search(t, method="lsh"), _search(t))
+    return measured.select("queries", "wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query("rag_context", f"""
 with {_SCORED},
 lines as (select query_id, rank, '[' || cast(rank as varchar) || '] (' || city || ', ' || cast(review_date as varchar)
