@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -15,6 +16,10 @@ from pyspark.sql import types as T
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "",
                "emptyValue": "", "encoding": "UTF-8", "mode": "FAILFAST"}
 HISTORY_TYPES = "path string, length bigint, modificationTime timestamp, loaded_at timestamp"
+PACKED_TYPES = "state string, pack string"
+#: Paths of staged files, and how long the history knows them.
+PATTERN = ".*[.]csv([.]gz)?"
+KEEP_DAYS = 64
 
 
 def scan_staged_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
@@ -92,36 +97,118 @@ def ensure_raw_table(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
+def _history(spark: SparkSession, history: str) -> DataFrame:
+    """File states loaded lately: one folder per day of loading."""
+    return read_or_empty(spark, history, HISTORY_TYPES).select("path", "length", "modificationTime", "loaded_at")
+
+
+def _first_load(spark: SparkSession, history: str, load_ts: dt.datetime) -> int:
+    """When the table was first loaded, in microseconds; kept apart, as the history expires."""
+    path = f"{history}/_first"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(load_ts,)], "loaded_at timestamp").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("loaded_at timestamp").parquet(path).agg(F.unix_micros(F.min("loaded_at"))).first()[0]
+
+
+def expire_history(spark: SparkSession, history: str, load_ts: dt.datetime, keep_days: int = KEEP_DAYS) -> None:
+    """Drop the days of loading that lie more than ``keep_days`` before this load."""
+    limit = f"day={(load_ts - dt.timedelta(days=keep_days)).date().isoformat()}"
+    for folder in list_folders(spark, history) if path_exists(spark, history) else []:
+        if folder.name.startswith("day=") and folder.name < limit:
+            remove_path(spark, f"{history}/{folder.name}")
+
+
 def load_incremental_files(spark: SparkSession, source: str, target: str, history: str,
-                           schema: T.StructType, load_ts: dt.datetime) -> int:
-    """Load every new or rewritten file below ``source`` into the raw table at ``target``.
+                           schema: T.StructType, load_ts: dt.datetime, pattern: str = PATTERN,
+                           keep_days: int = KEEP_DAYS, load_uncertain: bool = False) -> int:
+    """Load every new or rewritten file below ``source`` whose path matches ``pattern`` into the raw table.
 
     Each state of a file owns one partition of the target, which the load overwrites. A load that
     died before its history was written therefore repeats without doubling rows. Returns the number
     of files. Only their names pass through the driver, as the reader needs them.
+
+    The history forgets file states ``keep_days`` after their load. A file last written before that, of a table
+    first loaded before that, may have been loaded and forgotten: it is left out unless ``load_uncertain``. States
+    that ``pack_raw`` has packed are in the table already and enter the history only.
     """
-    fresh = load_reload_overwritten(list_files(spark, source), read_or_empty(spark, history, HISTORY_TYPES))
-    found = fresh.orderBy("path").collect()
+    first = _first_load(spark, history, load_ts)
+    found = list_files(spark, source).filter(F.col("path").rlike(f"^(?:{pattern})$"))
+    fresh = load_reload_overwritten(found, _history(spark, history))
+    limit = int((load_ts - dt.timedelta(days=keep_days)).timestamp() * 1_000_000)
+    if first < limit and not load_uncertain:
+        fresh = fresh.filter(F.unix_micros("modificationTime") >= limit)
+    state = _file_state(F.col("path"), F.col("length"), F.col("modificationTime"))
+    packed = read_or_empty(spark, f"{target}/_packed", PACKED_TYPES).select("state", F.lit(True).alias("packed"))
+    found = fresh.withColumn("state", state).join(packed, "state", "left").orderBy("path").collect()
     if not found:
         return 0
-    rows = scan_staged_csv(spark, [f["path"] for f in found], schema)
-    state = F.md5(F.concat_ws("|", F.col("_metadata.file_path"), F.col("_metadata.file_size"),
-                              F.unix_micros("_metadata.file_modification_time")))
-    stamped = rows.select("*", state.alias("_file_state"), F.col("_metadata.file_path").alias("_source_file"),
-                          F.lit(load_ts).cast("timestamp").alias("_loaded_at"))
-    (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_file_state").parquet(target))
+    new = [f["path"] for f in found if not f["packed"]]
+    if new:
+        rows = scan_staged_csv(spark, new, schema)
+        own = _file_state(F.col("_metadata.file_path"), F.col("_metadata.file_size"),
+                          F.col("_metadata.file_modification_time"))
+        stamped = rows.select("*", own.alias("_file_state"), F.col("_metadata.file_path").alias("_source_file"),
+                              F.lit(load_ts).cast("timestamp").alias("_loaded_at"))
+        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_file_state").parquet(target))
     loaded = spark.createDataFrame([(f["path"], f["length"], f["modificationTime"], load_ts) for f in found],
                                    HISTORY_TYPES)
-    loaded.coalesce(1).write.mode("append").parquet(history)
+    loaded.coalesce(1).write.mode("append").parquet(f"{history}/day={load_ts.date().isoformat()}")
+    expire_history(spark, history, load_ts, keep_days)
     return len(found)
 
 
-def read_bronze(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def _file_state(path: Column, length: Column, modified: Column) -> Column:
+    return F.md5(F.concat_ws("|", path, length, F.unix_micros(modified)))
+
+
+def pack_raw(spark: SparkSession, target: str, schema: T.StructType, least_bytes: int = 64 << 20) -> int:
+    """Bring the raw table's small partitions together, in few files; returns how many were packed.
+
+    Partitions below ``least_bytes`` are written into one hidden folder, and their file states noted as packed; then the
+    old partitions go and the folder takes their place. A run that dies is finished by the next: before the note is
+    complete nothing was removed, after it nothing is read again. Not to be run while others read the table.
+    """
+    _finish_packing(spark, target)
+    sizes = list_files(spark, target).withColumn("part", F.regexp_extract("path", "/(_file_state=[^/]+)/", 1)).filter(
+        "part <> ''").groupBy("part").agg(F.sum("length").alias("bytes")).filter(F.col("bytes") < least_bytes)
+    small = [r["part"] for r in sizes.orderBy("part").collect()]
+    if len(small) < 2:
+        return 0
+    name = hashlib.md5("|".join(small).encode()).hexdigest()
+    rows = read_bronze(spark, [f"{target}/{part}" for part in small], schema)
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{target}/_packing/{name}/rows")
+    states = [(part.removeprefix("_file_state="), name) for part in small]
+    spark.createDataFrame(states, PACKED_TYPES).coalesce(1).write.mode("overwrite").parquet(
+        f"{target}/_packing/{name}/states")
+    _finish_packing(spark, target)
+    return len(small)
+
+
+def _finish_packing(spark: SparkSession, target: str) -> None:
+    """Put complete packs into the table; an incomplete one is thrown away, as its partitions are still there."""
+    folder = f"{target}/_packing"
+    for pack in list_folders(spark, folder) if path_exists(spark, folder) else []:
+        path = f"{folder}/{pack.name}"
+        if path_exists(spark, f"{path}/states/_SUCCESS"):
+            states = spark.read.schema(PACKED_TYPES).parquet(f"{path}/states")
+            noted = read_or_empty(spark, f"{target}/_packed", PACKED_TYPES)
+            states.join(noted, ["state", "pack"], "left_anti").coalesce(1).write.mode("append").parquet(f"{target}/_packed")
+            for row in states.collect():
+                remove_path(spark, f"{target}/_file_state={row['state']}")
+            system, _ = _file_system(spark, path)
+            place = spark._jvm.org.apache.hadoop.fs.Path
+            if path_exists(spark, f"{path}/rows"):
+                system.rename(place(f"{path}/rows"), place(f"{target}/_file_state={pack.name}"))
+        remove_path(spark, path)
+
+
+def read_bronze(spark: SparkSession, target: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """The raw table with its lineage columns."""
     fields = list(schema.fields) + [T.StructField("_source_file", T.StringType()),
                                     T.StructField("_loaded_at", T.TimestampType())]
-    return spark.read.schema(T.StructType(fields)).parquet(target).select(*[f.name for f in fields])
+    paths = [target] if isinstance(target, str) else list(target)
+    return spark.read.schema(T.StructType(fields)).parquet(*paths).select(*[f.name for f in fields])
 
 
 def load_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

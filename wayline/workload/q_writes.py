@@ -68,18 +68,15 @@ def _(t):
     checked = ["price_local", "room_type", "accommodates", "minimum_nights", "is_superhost"]
     k = F.col("k")
     before = t["stg_listings"].select(F.col("listing_id").alias("k"), *checked)
-    after = before.withColumns({
-        "price_local": F.when(k % 3 == 0, F.col("price_local") + 1).otherwise(F.col("price_local")).cast(
+    # one group appears late, one vanishes and returns; one snapshot changes nothing
+    days = [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 2, 15), dt.date(2024, 3, 1)]
+    day, later = F.col("day"), F.col("day") > days[0]
+    missing = F.when(day == days[0], k % 10 == 9).when(day < days[3], k % 10 == 8).otherwise(F.lit(False))
+    snapshots = before.withColumn("day", F.explode(F.array(*[F.lit(d) for d in days]))).filter(~missing).withColumns({
+        "price_local": F.when(later & (k % 3 == 0), F.col("price_local") + 1).otherwise(F.col("price_local")).cast(
             before.schema["price_local"].dataType),
-        "room_type": F.when(k % 7 == 0, "Hotel room").otherwise(F.col("room_type"))})
-    empty = before.limit(0).withColumns({"valid_from": F.lit(None).cast("date"), "valid_to": F.lit(None).cast("date")})
-    # one group appears late, one vanishes and returns; one snapshot is taken twice
-    days = [(dt.date(2024, 1, 1), before.filter("k % 10 <> 9")), (dt.date(2024, 2, 1), after.filter("k % 10 <> 8")),
-            (dt.date(2024, 2, 15), after.filter("k % 10 <> 8")), (dt.date(2024, 3, 1), after)]
-    history = empty
-    for day, snapshot in days:
-        history = upsert.scd2_snapshot(history, snapshot, "k", checked, day)
-    return history
+        "room_type": F.when(later & (k % 7 == 0), "Hotel room").otherwise(F.col("room_type"))})
+    return upsert.scd2_snapshots(snapshots, "k", checked, "day", days)
 
 
 @query("fact_partition_layout", """
