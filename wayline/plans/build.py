@@ -17,6 +17,7 @@ from wayline.operators.travel import fx_daily_rates
 from wayline.operators.upsert import scd2_snapshot
 from wayline.plans import dims, facts, marts, staging
 from wayline.plans.quality import quality_report
+from wayline.plans.refresh import refresh_months
 from wayline.sources.schemas import ENRICHMENT_TYPES
 from wayline.sources.sinks import layer_path, merge_into_partitions, read_mark, read_version, write_version
 
@@ -87,9 +88,6 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
         stored = read_version(spark, layer_path(root, "ai", "review_enrichments"))
         t["review_enrichments"] = spark.createDataFrame([], ENRICHMENT_TYPES) if stored is None else stored
     reports = {
-        "mart_airline_performance": marts.mart_airline_performance(t["fct_flights"], t["dim_airlines"],
-                                                                   t["dim_airports"]),
-        "mart_city_revenue": marts.mart_city_revenue(t["fct_stay_bookings"], t["dim_listings"]),
         "mart_forward_occupancy": marts.mart_forward_occupancy(t["stg_calendar"], t["dim_listings"]),
         "mart_traveler_disruption": marts.mart_traveler_disruption(t["fct_flight_bookings"], t["fct_flights"],
                                                                    t["dim_airlines"]),
@@ -100,6 +98,17 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
     for name, df in reports.items():
         t[name] = _publish(df, root, "ai" if name in ("mart_review_insights", "mart_delay_impact") else "business",
                            name)
+    # these two depend on one fact, month by month
+    monthly = {
+        "mart_airline_performance": ("fct_flights", lambda f: marts.mart_airline_performance(
+            f, t["dim_airlines"], t["dim_airports"]),
+            [(t["dim_airlines"], ["airline_code", "airline_name", "carrier_type"]),
+             (t["dim_airports"], ["iata_code", "airport_name", "region_code"])]),
+        "mart_city_revenue": ("fct_stay_bookings", lambda f: marts.mart_city_revenue(f, t["dim_listings"]),
+                              [(t["dim_listings"], ["listing_id", "room_type"])])}
+    for name, (source, make, lookups) in monthly.items():
+        t[name], _ = refresh_months(spark, layer_path(root, "business", name), layer_path(root, "facts", source), make,
+                                    "month", lookups)
     facts_of = {"flights": (staging.stg_flights(raw["flights"]), "flight_id", t["fct_flights"]),
                 "stay_bookings": (raw["stay_bookings"], "stay_booking_id", t["fct_stay_bookings"]),
                 "flight_bookings": (raw["flight_bookings"], "flight_booking_id", t["fct_flight_bookings"])}
