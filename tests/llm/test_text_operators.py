@@ -646,6 +646,29 @@ def test_language_stage_keeps_columns_of_any_name(spark):
     assert sorted(got) == sorted((*r, *r[3:] * 3) for r in rows if r[0] not in (40, 41))
 
 
+def test_stages_leave_columns_of_any_name(spark, small_dir):
+    import corpus_pipeline
+    names = ["own", "_own", "key", "_key", "places", "_places", "gone_at", "_gone_at", "kept", "_kept", "kept_key", "nth",
+             "_nth", "leak", "_leak", "_n_lines", "n_lines", "_n_dropped", "_score", "score", "_lang_pred", "item_id"]
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    marked = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = sorted(map(tuple, stage(spark, docs, small_dir).collect()), key=str)
+        got = stage(spark, marked, small_dir).collect()
+        assert sorted((tuple(r)[:5] for r in got), key=str) == plain, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names), name
+
+
+def test_equal_rows_lose_the_same_lines(spark):
+    """Rows equal in id and text are one document: they don't make a line recur, and they share a verdict."""
+    shared, own = "a line that several of them share", "other words of a document, " * 9
+    twice = spark.createDataFrame([(1, f"{own}\n{shared}"), (1, f"{own}\n{shared}"), (2, f"{own[3:]}\n{shared}")],
+                                  "doc_id long, text string")
+    assert [r._n_dropped for r in lines.drop_recurring_lines(twice).collect()] == [0, 0, 0]
+    thrice = twice.unionByName(spark.createDataFrame([(3, f"{own[6:]}\n{shared}")], twice.schema))
+    assert [r._n_dropped for r in lines.drop_recurring_lines(thrice).collect()] == [1, 1, 1, 1]
+
+
 def test_pipeline_stages_on_hard_and_empty_tables(spark, small_dir, hard, empty):
     import corpus_pipeline
     for table in (hard, empty):

@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.common import (arrow_batches, arrow_type, byte_texts, chunked, inside_texts, mix, row_key, slices, stored,
+from wayline.llm.common import (arrow_batches, arrow_type, byte_texts, chunked, fresh_names, inside_texts, mix, row_key, slices, stored,
                                 window_hashes, word_hashes)
 
 #: Units that make a slot behind a number, and number words.
@@ -315,7 +315,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  **options) -> DataFrame:
-    """All columns of the documents that hold no benchmark item."""
-    leaks = find_leaks(docs, benchmark, id_column, text_column, **options).select(F.col("key").alias("_leak")).distinct()
-    own = row_key(F.col(id_column), F.col(text_column))
-    return docs.withColumn("_own", own).join(leaks, F.col("_own") == F.col("_leak"), "left_anti").drop("_own")
+    """All columns of the documents that hold no benchmark item, whatever their names.
+
+    Rows equal in id and text stay or go together; NULL and empty texts stay.
+    """
+    own, leak = fresh_names(docs, "own", "leak")
+    leaks = find_leaks(docs, benchmark, id_column, text_column, **options).select(F.col("key").alias(leak)).distinct()
+    keyed = docs.withColumn(own, row_key(F.col(id_column), F.col(text_column)))
+    return keyed.join(leaks, F.col(own) == F.col(leak), "left_anti").drop(own)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import WORD_GAP, join_counted, row_key, stored, word_count
+from wayline.llm.common import WORD_GAP, fresh_names, join_counted, row_key, stored, word_count
 
 #: What stands for a variable field in a template.
 FIELD = "<*>"
@@ -88,30 +88,32 @@ def line_templates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def drop_recurring_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = 3,
                          min_docs: int = 3, min_tokens: int = 3, similarity: float = 0.7,
-                         max_loss: float = 0.3) -> DataFrame:
-    """All columns of ``docs`` with the text lacking its recurring lines, plus _n_lines and _n_dropped.
+                         max_loss: float = 0.3, counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """All columns of ``docs`` with the text lacking its recurring lines, plus two ``counts``: lines and dropped lines.
 
     Lines end at \\n. All lines with a recurring template go (see ``line_templates``), unless they hold more
     than ``max_loss`` of a document's words: such a document is a copy of others rather than a page with
     boilerplate, stays as it is and is left to document-level dedup.
 
-    A NULL text stays NULL with one (empty) line. Repeated rows count as documents of their own. Other columns
-    pass through, whatever their names, but for _n_lines and _n_dropped. Empty tables give empty tables.
+    A NULL text stays NULL with one (empty) line. Rows equal in id and text are one document, met once, and lose the
+    same lines. Other columns pass through, whatever their names; one named like a count is replaced. Empty tables give
+    empty tables.
     """
     key = row_key(F.col(id_column), F.col(text_column))
     found = line_templates(docs, id_column, text_column, depth, min_docs, min_tokens, similarity)
     # equal rows share a key: their places are the same, hence the set; it is as long as the document's lines
-    places = found.groupBy(F.col("key").alias("_key")).agg(
-        F.collect_set(F.struct("at", "words")).alias("_places"))
-    joined = docs.withColumn("_own", key).join(places, F.col("_own") == F.col("_key"), "left")
+    own, key_name, places_name, gone_name = fresh_names(docs, "own", "key", "places", "gone_at")
+    places = found.groupBy(F.col("key").alias(key_name)).agg(
+        F.collect_set(F.struct("at", "words")).alias(places_name))
+    joined = docs.withColumn(own, key).join(places, F.col(own) == F.col(key_name), "left")
     body = F.coalesce(F.col(text_column), F.lit(""))
-    gone = F.aggregate("_places", F.lit(0), lambda total, p: total + p["words"])
+    gone = F.aggregate(places_name, F.lit(0), lambda total, p: total + p["words"])
     words = word_count(F.col(text_column))
-    gone_at = F.when(F.col("_places").isNotNull() & (gone <= F.lit(max_loss) * words),
-                     F.transform("_places", lambda p: p["at"]))
-    kept = F.filter(F.split(body, "\n"), lambda x, i: ~F.array_contains("_gone_at", i))
-    return joined.withColumn("_gone_at", gone_at).select(
-        *[F.when(F.col("_gone_at").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column)).alias(c)
-          if c == text_column else F.col(f"`{c}`") for c in docs.columns],
-        F.size(F.split(body, "\n")).cast("long").alias("_n_lines"),
-        F.coalesce(F.size("_gone_at"), F.lit(0)).cast("long").alias("_n_dropped"))
+    gone_at = F.when(F.col(places_name).isNotNull() & (gone <= F.lit(max_loss) * words),
+                     F.transform(places_name, lambda p: p["at"]))
+    kept = F.filter(F.split(body, "\n"), lambda x, i: ~F.array_contains(gone_name, i))
+    return joined.withColumn(gone_name, gone_at).select(
+        *[F.when(F.col(gone_name).isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column)).alias(c)
+          if c == text_column else F.col(f"`{c}`") for c in docs.columns if c not in counts],
+        F.size(F.split(body, "\n")).cast("long").alias(counts[0]),
+        F.coalesce(F.size(gone_name), F.lit(0)).cast("long").alias(counts[1]))

@@ -29,26 +29,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines whose template recurs; n_chars follows the text."""
-    kept = lines.drop_recurring_lines(docs)
+    """Documents without lines whose template recurs; n_chars follows the text.
+
+    No row goes. NULL texts stay NULL, with n_chars NULL; rows equal in id and text lose the same lines. An empty table stays
+    empty.
+    """
+    kept = lines.drop_recurring_lines(docs, counts=tuple(fresh_names(docs, "n_lines", "n_dropped")))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
-    kept = neardup.near_duplicate_classes(docs).filter("kept").select(F.col("key").alias("_kept"))
-    own = docs.withColumn("_own", row_key(F.col("doc_id"), F.col("text")))
-    joined = own.join(kept, F.col("_own") == F.col("_kept"))
-    # repeated rows share a key; one of them stays
-    first = Window.partitionBy("_own").orderBy("lang", "source")
-    return joined.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").select(*docs.columns)
+    """One document of each class of near-duplicates.
+
+    Repeated rows are one class, of which the first by (lang, source) stays; which class member stays does not depend on
+    the order of rows. A text without words (NULL, empty) is a class of its own and stays. Columns of any name stay as they are.
+    """
+    own, kept_key, nth = fresh_names(docs, "own", "kept_key", "nth")
+    kept = neardup.near_duplicate_classes(docs).filter("kept").select(F.col("key").alias(kept_key))
+    joined = docs.withColumn(own, row_key(F.col("doc_id"), F.col("text"))).join(kept, F.col(own) == F.col(kept_key))
+    first = Window.partitionBy(own).orderBy("lang", "source")
+    return joined.withColumn(nth, F.row_number().over(first)).filter(F.col(nth) == 1).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; NULL and empty texts stay, equal rows stay or go together."""
     return leaks.drop_leaking(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each remaining document the mix takes, with the sources' targets."""
+    """How many words of each remaining document the mix takes, with the sources' targets.
+
+    One row per row: NULL and empty texts take none, repeated rows are taken on their own, a NULL source is a source.
+    """
     return mixing.mix_sources(docs)
