@@ -49,4 +49,4 @@ def refresh_months(spark: SparkSession, path: str, fact: str, make: Callable[[Da
         (rows.hint("rebalance", F.col("_month")).write.mode("overwrite")
          .option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy("_month").parquet(path))
         spark.createDataFrame([(newest, looked_up)], STATE_TYPES).coalesce(1).write.mode("overwrite").parquet(state)
-    return spark.read.schema(schema).parquet(path), None if whole else months
+    return spark.read.schema(schema).parquet(path).select(*schema.names), None if whole else months
