@@ -16,10 +16,10 @@ from wayline.operators import checks
 from wayline.operators.travel import fx_daily_rates
 from wayline.operators.upsert import scd2_snapshot
 from wayline.plans import dims, facts, marts, staging
-from wayline.plans.quality import quality_report
+from wayline.plans.quality import observe_rules, quality_report
 from wayline.plans.refresh import refresh_months
 from wayline.sources.schemas import ENRICHMENT_TYPES
-from wayline.sources.sinks import layer_path, merge_into_partitions, read_mark, read_version, write_version
+from wayline.sources.sinks import Buckets, layer_path, merge_into_partitions, read_mark, read_version, write_version
 
 # columns of a listing whose change opens a new validity row
 LISTING_CHECKS = ["price_local", "room_type", "accommodates", "minimum_nights", "is_superhost"]
@@ -30,15 +30,21 @@ _STAGED = {"stg_listings": staging.stg_listings, "stg_calendar": staging.stg_cal
            "stg_users": staging.stg_users}
 
 
-def _publish(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
+def _publish(df: DataFrame, root: str, layer: str, name: str,
+             observed: dict[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """Write a table and give back the stored one; ``observed`` receives the counts of its row rules."""
     path = layer_path(root, layer, name)
-    df.write.mode("overwrite").parquet(path)
+    rows, seen = (df, None) if observed is None else observe_rules(name, df)
+    rows.write.mode("overwrite").parquet(path)
+    if seen is not None:
+        observed[name] = seen.get
     return df.sparkSession.read.parquet(path)
 
 
 def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
           as_of: dt.date, enrichments: DataFrame | None = None,
-          calendar_range: tuple[dt.date, dt.date] = dims.SPINE, stop: bool = True) -> dict[str, DataFrame]:
+          calendar_range: tuple[dt.date, dt.date] = dims.SPINE, stop: bool = True,
+          buckets: Mapping[str, Buckets] | None = None) -> dict[str, DataFrame]:
     """Build every model below ``root`` and return the stored tables by name.
 
     ``raw`` holds the ten raw tables (text columns with ``_source_file`` and ``_loaded_at``), ``seeds``
@@ -46,24 +52,29 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
     currency, per unit of the pivot currency). ``enrichments`` defaults to the stored ones.
 
     Listings also enter a validity history. The data tests are stored as ``checks``; with ``stop`` a failed
-    test of severity error ends the run with an AssertionError after that.
+    test of severity error ends the run with an AssertionError after that. Row rules of tables that a run writes
+    whole are counted while they are written; facts and monthly marts, of which a run writes some months, are read for them.
+
+    ``buckets`` names facts that are stored for joins on a key (see ``facts.flight_buckets``).
     """
+    observed: dict[str, Mapping[str, int]] = {}
     t: dict[str, DataFrame] = {name: df for name, df in seeds.items()}
     if "fx_rates_daily" not in t:
         quotes = seeds["fx_quotes"]
         named = [c for c in quotes.columns if c not in ("day", "USD")]
-        t["fx_rates_daily"] = _publish(fx_daily_rates(quotes, "day", "USD", named), root, "staging", "fx_rates_daily")
+        t["fx_rates_daily"] = _publish(fx_daily_rates(quotes, "day", "USD", named), root, "staging", "fx_rates_daily",
+                                       observed)
     for name, fn in _STAGED.items():
         source = raw[name.removeprefix("stg_")]
         rows = fn(source, seeds["cities"]) if name == "stg_listings" else fn(source)
-        t[name] = _publish(rows, root, "staging", name)
+        t[name] = _publish(rows, root, "staging", name, observed)
     t["listing_history"] = snapshot_listings(t["stg_listings"], layer_path(root, "snapshots", "listings"), as_of)
 
     def fact(name: str, source: str, make) -> DataFrame:
         key, date, date_in_key = facts.FACT_KEYS[name]
         path = layer_path(root, "facts", name)
         rows = make(facts.new_rows(raw[source], read_mark(spark, path, "_loaded_at")))
-        return merge_into_partitions(rows, path, [key], "_loaded_at", date, date_in_key)
+        return merge_into_partitions(rows, path, [key], "_loaded_at", date, date_in_key, (buckets or {}).get(name))
 
     t["fct_flights"] = fact("fct_flights", "flights", lambda r: facts.fct_flights(staging.stg_flights(r)))
     t["fct_stay_bookings"] = fact("fct_stay_bookings", "stay_bookings", lambda r: facts.fct_stay_bookings(
@@ -81,7 +92,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
         "dim_listings": dims.dim_listings(t["stg_listings"], t["fx_rates_daily"]),
         "dim_users": dims.dim_users(t["stg_users"], seeds["city_airports"], as_of)}
     for name, df in made.items():
-        t[name] = _publish(df, root, "dimensions", name)
+        t[name] = _publish(df, root, "dimensions", name, observed)
 
     t["review_enrichments"] = enrichments
     if enrichments is None:
@@ -97,7 +108,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
                                                      t["fct_flights"], t["review_enrichments"])}
     for name, df in reports.items():
         t[name] = _publish(df, root, "ai" if name in ("mart_review_insights", "mart_delay_impact") else "business",
-                           name)
+                           name, observed)
     # these two depend on one fact, month by month
     monthly = {
         "mart_airline_performance": ("fct_flights", lambda f: marts.mart_airline_performance(
@@ -113,7 +124,7 @@ def build(spark: SparkSession, root: str, raw: Mapping[str, DataFrame], seeds: M
                 "stay_bookings": (raw["stay_bookings"], "stay_booking_id", t["fct_stay_bookings"]),
                 "flight_bookings": (raw["flight_bookings"], "flight_booking_id", t["fct_flight_bookings"])}
     reconciled = checks.check_severity_warn("facts reconcile with raw", checks.check_reconcile(facts_of), "error")
-    t["checks"] = _publish(check(t).unionByName(reconciled), root, "checks", "report")
+    t["checks"] = _publish(check(t, observed).unionByName(reconciled), root, "checks", "report")
     if stop:
         checks.assert_passed(t["checks"])
     return t
@@ -130,6 +141,6 @@ def snapshot_listings(listings: DataFrame, path: str, as_of: dt.date) -> DataFra
     return write_version(scd2_snapshot(history, current, "listing_id", LISTING_CHECKS, as_of), path)
 
 
-def check(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The data tests over the tables of a build."""
-    return quality_report(tables)
+def check(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """The data tests over the tables of a build; see ``quality_report`` for ``observed``."""
+    return quality_report(tables, observed)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayline.functions.dates import fn_date_diff
 from wayline.functions.numbers import fn_fx_convert
 from wayline.operators.relational import filter_high_water, join_multi_key_fx
+from wayline.sources.sinks import Buckets
 
 # key, date column, and whether the key holds the date
 FACT_KEYS = {"fct_flights": ("flight_id", "flight_date", True),
@@ -15,6 +16,11 @@ FACT_KEYS = {"fct_flights": ("flight_id", "flight_date", True),
              "fct_flight_bookings": ("flight_booking_id", "flight_date", False)}
 
 
+def flight_buckets(count: int) -> dict[str, Buckets]:
+    """Layouts in which booked legs and flights join on the flight without a shuffle."""
+    return {name: Buckets("flight_id", count) for name in ("fct_flights", "fct_flight_bookings")}
+
+
 def new_rows(raw: DataFrame, fact: DataFrame | None) -> DataFrame:
     """Raw rows loaded after the newest time of the fact (or of its load mark), cut before the dedup so the scan can skip old files.
     The result is the same: a key's newest row either passes, or the key has nothing new."""

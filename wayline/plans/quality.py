@@ -1,6 +1,6 @@
 """The data tests of all models, as one report.
 
-Row rules of a table (not null, allowed values, range) are counted together in one pass over it;
+Row rules of a table (not null, allowed values, range) are counted while it is written, or together in one pass over it;
 uniqueness and parent checks need a shuffle each.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wayline.operators import checks
@@ -67,8 +67,8 @@ PARENTS = [
     ("fct_flight_bookings", "stay_booking_id", "fct_stay_bookings", "stay_booking_id", "error")]
 
 
-def row_rules(name: str, df: DataFrame) -> DataFrame | None:
-    """(check_name, failures) of all row rules of one table, from one aggregate."""
+def rule_counts(name: str) -> dict[str, Column]:
+    """The failing rows of each row rule of one table, as aggregates."""
     rules = {}
     for column in [*([KEYS[name]] if name in KEYS else []), *NOT_NULL.get(name, [])]:
         rules[f"{name}.{column} not null"] = F.count_if(F.col(column).isNull())
@@ -79,6 +79,24 @@ def row_rules(name: str, df: DataFrame) -> DataFrame | None:
         bad = bad if low is None else bad | (F.col(column) < low)
         bad = bad if high is None else bad | (F.col(column) > high)
         rules[f"{name}.{column} range"] = F.count_if(bad)
+    return rules
+
+
+def observe_rules(name: str, df: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """The table with its row rules counted while it is written; None if it has no such rule.
+
+    The counts are taken in the tasks that write, so a table has to be written as it is returned here, without a further
+    shuffle; a task that runs again counts once."""
+    rules = rule_counts(name)
+    if not rules:
+        return df, None
+    seen = Observation(name)
+    return df.observe(seen, *[failing.alias(rule) for rule, failing in rules.items()]), seen
+
+
+def row_rules(name: str, df: DataFrame) -> DataFrame | None:
+    """(check_name, failures) of all row rules of one table, from one aggregate."""
+    rules = rule_counts(name)
     if not rules:
         return None
     counts = df.agg(F.array(*[F.struct(F.lit(n).alias("check_name"), c.alias("failures")) for n, c in rules.items()])
@@ -87,16 +105,23 @@ def row_rules(name: str, df: DataFrame) -> DataFrame | None:
                                                            "r.failures")
 
 
-def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per test of the given tables: name, severity, failures, status."""
-    parts = []
+def quality_report(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """One row per test of the given tables: name, severity, failures, status.
+
+    ``observed`` holds, for tables whose row rules were counted while they were written, the counts by rule; these tables
+    are not read again for them. A table whose counts are not complete is."""
+    parts, taken = [], []
 
     def counted(name: str, failing: DataFrame, severity: str = "error") -> None:
         parts.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failures"))
 
     for name, df in tables.items():
-        rules = row_rules(name, df)
+        counts = (observed or {}).get(name, {})
+        known = bool(counts) and set(counts) == set(rule_counts(name))
+        if known:
+            taken += [(rule, "error", failures) for rule, failures in counts.items()]
+        rules = None if known else row_rules(name, df)
         if rules is not None:
             parts.append(rules)
         for column in [*([KEYS[name]] if name in KEYS else []), *UNIQUE.get(name, [])]:
@@ -107,6 +132,9 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
         if child in tables and parent in tables:
             counted(f"{child}.{column} parent", checks.check_relationships(
                 tables[child], column, tables[parent], parent_column), severity)
+    if taken:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(taken, "check_name string, severity string, failures bigint"))
     n = F.col("failures")
     return reduce(lambda a, b: a.unionByName(b), parts).withColumn(
         "status", F.when(n == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"))

@@ -78,6 +78,20 @@ def list_folders(spark: SparkSession, path: str) -> list[Folder]:
     return [Folder(status.getPath().getName()) for status in files.listStatus(folder) if status.isDirectory()]
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly below a path."""
+    files, folder = _file_system(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isFile()]
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    files, target = _file_system(spark, new)
+    files.mkdirs(target.getParent())
+    if not files.rename(_file_system(spark, old)[1], target):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     files, folder = _file_system(spark, path)
     files.delete(folder, True)

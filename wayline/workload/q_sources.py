@@ -158,6 +158,22 @@ def _(t):
     return sinks.sink_partitioned_csv(events.unionByName(orders), "at", scratch_path(t.spark, "export"))
 
 
+@query("sink_named_csv", """
+select strftime(o_orderdate, '%Y') as year, strftime(o_orderdate, '%m') as month, count(*) as row_count,
+  sum(o_orderkey)::bigint as keys, true as named from {orders} group by 1, 2""")
+def _(t):
+    path = scratch_path(t.spark, "named")
+    sinks.sink_partitioned_csv(t["orders"].select("o_orderkey", F.col("o_orderdate").alias("at"), "o_orderpriority"), "at", path,
+                               names="orders_{year}-{month}_{part:04d}.csv.gz")
+    back = files.scan_staged_csv(t.spark, f"{path}/year=*/month=*", _text("o_orderkey", "at", "o_orderpriority"))
+    place = F.regexp_extract(F.input_file_name(), r"year=(\d+)/month=(\d+)/orders_\1-\2_\d{4}[.]csv[.]gz$", 0)
+    return back.withColumns({"year": F.date_format("at", "yyyy"), "month": F.date_format("at", "MM"),
+                             "place": place}).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("o_orderkey").cast("bigint")).alias("keys"),
+        F.bool_and(F.startswith("place", F.concat(F.lit("year="), F.col("year"), F.lit("/month="), F.col("month")))
+                   ).alias("named"))
+
+
 @query("materialize_view_table", """
 select 'view' as kind, count(*) as row_count, count(distinct o_custkey) as users from {orders} union all
 select 'table', count(*), count(distinct o_custkey) from {orders} union all

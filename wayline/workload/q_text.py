@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayline.operators import enrichment as job
-from wayline.operators import vectors
+from wayline.operators import policies, vectors
 from wayline.sources.files import spread_small_scan
 from wayline.workload.registry import query
 
@@ -268,3 +268,34 @@ def _(t):
     kinds = {"email": "email", "phone": "phone"}
     return job.column_mask(users, "ANALYST_ROLE", kinds).select(F.lit("ANALYST_ROLE").alias("role"), "*").unionByName(
         job.column_mask(users, "DBT_ROLE", kinds).select(F.lit("DBT_ROLE").alias("role"), "*"))
+
+
+@query("row_access_policy", """
+select 'ANALYST_ROLE' as role, booking_status, count(*) as n from {raw_stay_bookings}
+where booking_status = 'completed' group by all union all
+select 'SYSADMIN', booking_status, count(*) from {raw_stay_bookings} group by all""")
+def _(t):
+    policies.protected_view(t["raw_stay_bookings"], "stays_by_role", rows=policies.BOOKING_ROWS)
+    seen = None
+    for role in ("ANALYST_ROLE", "SYSADMIN", "GUEST_ROLE"):
+        policies.set_role(t.spark, role)
+        part = t.spark.sql("select session.wayline_role as role, booking_status, count(*) as n from stays_by_role group by 2")
+        seen = part if seen is None else seen.unionByName(part)
+    policies.set_role(t.spark)
+    return seen
+
+
+@query("column_mask_policy", """
+select 'ANALYST_ROLE' as role, user_id, '***@' || split_part(email, '@', 2) as email, '***-***-****' as phone
+from {raw_users} union all
+select 'DBT_ROLE', user_id, email, source_reviewer_id from {raw_users}""")
+def _(t):
+    users = t["raw_users"].select("user_id", "email", F.col("source_reviewer_id").alias("phone"))
+    policies.protected_view(users, "users_by_role", masks={"email": "email", "phone": "phone"})
+    seen = None
+    for role in ("ANALYST_ROLE", "DBT_ROLE"):
+        policies.set_role(t.spark, role)
+        part = t.spark.sql("select session.wayline_role as role, * from users_by_role")
+        seen = part if seen is None else seen.unionByName(part)
+    policies.set_role(t.spark)
+    return seen

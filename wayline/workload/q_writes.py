@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from wayline.operators import checks, upsert
+from wayline.plans import facts, marts, quality
 from wayline.session import scratch_path
 from wayline.sources import sinks
 from wayline.streaming import ingest, merge
@@ -90,6 +91,17 @@ def _(t):
         F.count(F.lit(1)).alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
+@query("fact_bucket_layout", "select * from {mart_traveler_disruption}")
+def _(t):
+    root, buckets = scratch_path(t.spark, "bucketed"), facts.flight_buckets(32)
+    stored = {}
+    for name in ("fct_flights", "fct_flight_bookings"):
+        key, date, date_in_key = facts.FACT_KEYS[name]
+        stored[name] = sinks.merge_into_partitions(t[name], f"{root}/{name}", [key], "_loaded_at", date, date_in_key,
+                                                   buckets[name])
+    return marts.mart_traveler_disruption(stored["fct_flight_bookings"], stored["fct_flights"], t["airlines"])
+
+
 @query("stream_ingest_files", """
 select count(*) as n, count(distinct doc_id) as docs, cast(sum(length(text)) as bigint) as chars from {documents}""")
 def _(t):
@@ -120,6 +132,33 @@ def _(t):
     return sinks.read_fact(t.spark, f"{root}/fact")
 
 
+@query("check_while_writing", """
+select 'stg_reviews.review_id not null' as check_name, count(*) filter (review_id is null) as failures from {stg_reviews}
+union all select 'stg_reviews.review_date not null', count(*) filter (review_date is null) from {stg_reviews}
+union all select 'stg_stay_bookings.stay_booking_id not null', count(*) filter (stay_booking_id is null)
+  from {stg_stay_bookings}
+union all select 'stg_stay_bookings.user_id not null', count(*) filter (user_id is null) from {stg_stay_bookings}
+union all select 'stg_stay_bookings.booking_status allowed',
+  count(*) filter (booking_status not in ('completed', 'cancelled')) from {stg_stay_bookings}
+union all select 'stg_stay_bookings.total_amount_local range', count(*) filter (total_amount_local < 0)
+  from {stg_stay_bookings}
+union all select 'stg_flights.flight_id not null', count(*) filter (flight_id is null) from {stg_flights}
+union all select 'stg_flights.flight_date not null', count(*) filter (flight_date is null) from {stg_flights}
+union all select 'stg_flights.airline_code not null', count(*) filter (airline_code is null) from {stg_flights}
+union all select 'stg_flights.arrival_status allowed',
+  count(*) filter (arrival_status not in ('on_time', 'delayed', 'cancelled', 'diverted')) from {stg_flights}
+union all select 'stg_flights.cancellation_reason allowed',
+  count(*) filter (cancellation_reason not in ('carrier', 'weather', 'national_air_system', 'security'))
+  from {stg_flights}""")
+def _(t):
+    counts = []
+    for name in ("stg_reviews", "stg_stay_bookings", "stg_flights"):
+        rows, seen = quality.observe_rules(name, t[name])
+        rows.write.parquet(scratch_path(t.spark, name))
+        counts += list(seen.get.items())
+    return t.spark.createDataFrame(counts, "check_name string, failures bigint")
+
+
 # --- data tests -----------------------------------------------------------------------------------
 
 @query("check_unique", """
