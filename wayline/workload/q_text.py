@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayline.operators import enrichment as job
-from wayline.operators import policies, vectors
+from wayline.operators import policies, review_model, vectors
 from wayline.sources.files import spread_small_scan
 from wayline.workload.registry import query
 
@@ -69,6 +69,19 @@ def _(t):
     return job.enrich_classify(spread_small_scan(reviews, ["review_id"]), job.word_rule(_GOOD, _BAD, _TOPIC_WORDS, _LATE))
 
 
+@query("enrich_classify_learned", """
+select count(*) as held_out, count(*) as judged from {labels} l join {documents} d on d.doc_id = l.doc_id
+where l.doc_id % 4 = 2""")
+def _(t):
+    texts = t["documents"].select(F.col("doc_id").alias("review_id"), F.col("text").alias("comment_text"))
+    rows = t["enrich_rows"].select("review_id", "sentiment").join(texts, "review_id")
+    held = F.col("review_id") % 4 == 2
+    rule = review_model.learned_rule(review_model.fit_sentiment(rows.filter(~held)), _TOPIC_WORDS, _LATE)
+    records = job.enrich_classify(rows.filter(held), rule).select(
+        "review_id", F.col("sentiment").alias("found"), "sentiment_score")
+    return review_model.held_out_report(records, rows.filter(held)).select("held_out", "judged")
+
+
 @query("enrich_validate", """
 with r as (select review_id, language || '-verylongtag' as language,
     case when review_id % 11 = 0 then 'angry' else sentiment end as sentiment, sentiment_score * 2 as s,

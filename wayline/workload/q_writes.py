@@ -93,7 +93,8 @@ def _(t):
 
 @query("fact_bucket_layout", "select * from {mart_traveler_disruption}")
 def _(t):
-    root, buckets = scratch_path(t.spark, "bucketed"), facts.flight_buckets(32)
+    # a flight per line item
+    root, buckets = scratch_path(t.spark, "bucketed"), facts.flight_buckets(sinks.buckets_for(t["lineitem"].count()))
     stored = {}
     for name in ("fct_flights", "fct_flight_bookings"):
         key, date, date_in_key = facts.FACT_KEYS[name]
