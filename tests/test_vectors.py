@@ -67,3 +67,30 @@ def test_search_of_little(spark):
         vectors.vector_search_topk(index, queries, method="other")
     with pytest.raises(ValueError):
         vectors.lsh_index(index, tables=64, bits=12)
+
+
+def test_exact_keys_for_few_pairs(monkeypatch):
+    rng = np.random.default_rng(6)
+    base, asked = rng.normal(size=(20000, 16)), rng.normal(size=(100, 16))
+    base[::3], asked[::4] = base[0], base[0]        # copies tie: the smallest ids count
+    base[5], asked[7] = 0.0, 0.0
+    tile, pairs, exact = vectors._Tile(np.arange(100), asked, 5), [], vectors._Tile._exact
+    monkeypatch.setattr(vectors._Tile, "_exact", lambda self, start, q, *rest: (
+        pairs.append(len(q)), exact(self, start, q, *rest)))
+    for at in range(0, len(base), 4096):
+        rows = rng.permutation(np.arange(at, min(at + 4096, len(base))))
+        tile.add(rows, base[rows])
+    assert sum(pairs) < 0.02 * len(base) * len(asked)
+    found = tile.rows()
+    keys = np.rint(vectors._unit(asked) * vectors._SCALE) @ np.rint(vectors._unit(base) * vectors._SCALE).T
+    keys = np.where(np.isnan(keys), -np.inf, keys)
+    for query, got in found.groupby("query_id"):
+        assert sorted(got["id"]) == sorted(np.argsort(-keys[query], kind="stable")[:5]), query
+
+
+def test_exact_search_moves_little(spark):
+    rng = np.random.default_rng(8)
+    index, queries = frames(spark, rng.normal(size=(3000, 8)), rng.normal(size=(10, 8)))
+    plan = vectors.vector_search_topk(index, queries)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "array<double>" not in plan            # vectors given in single precision travel so

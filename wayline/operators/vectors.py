@@ -5,11 +5,12 @@ Neither the index nor the queries pass through the driver, and only the best k r
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,9 @@ ROW_BYTES = 128 << 20          # index rows that stream past them in one task
 LEAST_ROWS = 1024              # a tile is not cut finer than this to occupy more tasks
 QUERY_SLICE = 256              # queries scored at once inside a task
 ROW_SLICE = 4096               # rows scored at once
+FIRST_ROWS = 512               # rows of a tile that give its queries their first bound
+MOST_EXACT = 1 << 16           # pairs whose exact keys are taken at once
+TASKS_PER_CORE = 4
 _SCALE = 1 << 26               # unit vectors as whole numbers: their products stay below 2**53, so sums are exact
 
 # the hash index: tables of sign patterns of random planes, and the patterns a query looks into
@@ -44,42 +48,105 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.full_like(matrix, np.nan), where=norms > 0)
 
 
-Best = tuple[np.ndarray, np.ndarray, np.ndarray]     # ids, order keys and scores, one row per query, best first
+def _few_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their ids, without those that have k equal vectors before them: they tie with these everywhere."""
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
+    if not vectors.shape[1]:
+        return ids[:k], vectors[:k]
+    same = np.unique(vectors.view(np.dtype((np.void, vectors.strides[0]))).ravel(), return_inverse=True)[1]
+    keep = np.sort(_first_of_each(same, np.argsort(same, kind="stable"), k))
+    return ids[keep], vectors[keep]
+
+
+def _first_of_each(group: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """The first k places of each group, from the places ordered by group."""
+    sorted_group = group[order]
+    starts = np.flatnonzero(np.r_[True, sorted_group[1:] != sorted_group[:-1]])
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+    return order[place < k]
 
 
-def _block_best(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int) -> Best:
-    """Best k index rows of one block for each query, ties by id; keys are held for a slice of queries.
+class _Tile:
+    """Best k rows so far for the queries of one tile; blocks of rows come one after another.
 
     The order key is the product of whole-number vectors: exact in any order of summation, so equal vectors
-    tie in every block, and blocks, partitions and threads don't change the ranking.
+    tie in every block, and blocks, partitions and threads don't change the ranking. Single-precision products, with
+    a margin above their error, tell which rows can be among a query's best k; keys and scores are taken for these only.
+
+    A vector without a direction (zero, or not finite) has the lowest key with all others: of such rows, and of all rows for
+    such a query, the k smallest ids count.
     """
-    order = np.argsort(ids, kind="stable")
-    ids, index = ids[order], _unit(vectors[order])
-    whole, keep, parts = np.rint(index * _SCALE).T, min(k, len(ids)), []
-    for start in range(0, len(queries), QUERY_SLICE):
-        asked = _unit(queries[start:start + QUERY_SLICE])
-        keys = np.rint(asked * _SCALE) @ whole
-        keys = np.where(np.isnan(keys), -np.inf, keys)
-        top = np.argsort(-keys, axis=1, kind="stable")[:, :keep]
-        # the score itself, for the chosen rows only: one pair after another, whatever the block
-        scores = np.stack([(index[top[:, i]] * asked).cumsum(axis=1)[:, -1] for i in range(keep)], axis=1)
-        parts.append((ids[top], np.take_along_axis(keys, top, axis=1), scores))
-    return tuple(np.concatenate(p) for p in zip(*parts))
-
-
-def _fold(left: Best | None, right: Best, k: int) -> Best:
-    """Best k of two blocks."""
-    if left is None:
-        return right
-    ids, keys, scores = (np.hstack(pair) for pair in zip(left, right))
-    top = np.lexsort((ids, -keys), axis=1)[:, :k]
-    return tuple(np.take_along_axis(part, top, axis=1) for part in (ids, keys, scores))
-
-
-def _rows(qids: np.ndarray, best: Best) -> pd.DataFrame:
-    ids, keys, scores = best
-    return pd.DataFrame({"query_id": np.repeat(qids, ids.shape[1]), "id": ids.ravel(), "key": keys.ravel(),
-                         "score": scores.ravel()})
+
+    def __init__(self, qids: np.ndarray, vectors: np.ndarray, k: int):
+        self.qids, self.k, self.unit = qids, k, _unit(vectors)
+        self.good = ~np.isnan(self.unit).any(axis=1)
+        self.asked = np.flatnonzero(self.good)
+        self.coarse = self.unit[self.asked].astype(np.float32)
+        # products of unit vectors in single precision are off by less than (width + 4) * 2**-23
+        self.margin = (vectors.shape[1] + 16) * 2.0**-22
+        self.ids = np.full((len(self.asked), k), np.iinfo(np.int64).max)
+        self.keys = np.full((len(self.asked), k), -np.inf)
+        self.scores = np.full((len(self.asked), k), np.nan)
+        self.fresh, self.least, self.lame = True, np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.least = np.sort(np.r_[self.least, ids])[:self.k]
+        index = _unit(vectors)
+        good = ~np.isnan(index).any(axis=1)
+        self.lame = np.sort(np.r_[self.lame, ids[~good]])[:self.k]
+        if not good.any() or not len(self.asked):
+            return
+        ids, index = _few_copies(ids[good], index[good], self.k)
+        first = min(len(ids), max(FIRST_ROWS, self.k)) if self.fresh else 0     # they give the others a bound
+        self.fresh = False
+        for part in (slice(0, first), slice(first, None)):
+            if len(ids[part]):
+                self._block(ids[part], index[part])
+
+    def _block(self, ids: np.ndarray, index: np.ndarray) -> None:
+        coarse = np.ascontiguousarray(index.astype(np.float32).T)
+        for start in range(0, len(self.asked), QUERY_SLICE):
+            here = slice(start, start + QUERY_SLICE)
+            near = self.coarse[here] @ coarse
+            worst, last = self.keys[here, -1], self.ids[here, -1]
+            low = worst / float(_SCALE) ** 2 - self.margin
+            open_ = np.flatnonzero(worst == -np.inf)
+            if len(open_) and len(ids) >= self.k:       # the block's own first k bound the rest
+                at = len(ids) - self.k
+                low[open_] = np.partition(near[open_], at, axis=1)[:, at] - 2 * self.margin
+            q, r = np.divmod(np.flatnonzero(near >= low.astype(np.float32)[:, None]), len(ids))
+            for at in range(0, len(q), MOST_EXACT):
+                self._exact(start, q[at:at + MOST_EXACT], r[at:at + MOST_EXACT], worst, last, ids, index)
+
+    def _exact(self, start: int, q, r, worst, last, ids: np.ndarray, index: np.ndarray) -> None:
+        asked, rows = self.unit[self.asked[q + start]], index[r]
+        keys = np.einsum("ij,ij->i", np.rint(asked * _SCALE), np.rint(rows * _SCALE))
+        better = np.flatnonzero((keys > worst[q]) | ((keys == worst[q]) & (ids[r] < last[q])) | (worst[q] == -np.inf))
+        if not len(better):
+            return
+        # the score itself: one pair after another, whatever the block
+        scores = (rows[better] * asked[better]).cumsum(axis=1)[:, -1]
+        q, r, keys = q[better] + start, r[better], keys[better]
+        met = np.unique(q)
+        group = np.r_[np.repeat(met, self.k), q]
+        columns = (np.r_[self.ids[met].ravel(), ids[r]], np.r_[self.keys[met].ravel(), keys],
+                   np.r_[self.scores[met].ravel(), scores])
+        best = _first_of_each(group, np.lexsort((columns[0], -columns[1], group)), self.k)
+        for held, column in zip((self.ids, self.keys, self.scores), columns):
+            held[met] = column[best].reshape(len(met), self.k)
+
+    def rows(self) -> pd.DataFrame:
+        found = self.keys > -np.inf
+        parts = [(np.repeat(self.qids[self.asked], found.sum(axis=1)), self.ids[found], self.keys[found], self.scores[found])]
+        # rows without a direction fill what is left; a query without one gets the smallest ids
+        room = self.k - found.sum(axis=1)
+        for asked, ids, room in ((self.asked, self.lame, room), (np.flatnonzero(~self.good), self.least, self.k)):
+            taken = np.minimum(room, len(ids)) * np.ones(len(asked), np.int64)
+            place = np.arange(taken.sum()) - np.repeat(taken.cumsum() - taken, taken)
+            parts.append((np.repeat(self.qids[asked], taken), ids[place], np.full(len(place), -np.inf),
+                          np.full(len(place), np.nan)))
+        return pd.DataFrame(dict(zip(("query_id", "id", "key", "score"), (np.concatenate(c) for c in zip(*parts)))))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -109,8 +176,7 @@ def vector_search_topk(index: DataFrame, queries: DataFrame, k: int = TOP_K, cit
     asked = queries.select(F.col(query_id).cast("bigint").alias("id"), F.col(query_vec).alias("v")).filter(
         "v is not null")
     if method == "exact":
-        cell = F.lit(0).alias("cell")
-        return _search(rows.select(cell, "*"), asked.select(cell, "*"), k, fragment_bytes, 1)
+        return _search(rows, asked, k, fragment_bytes, 1)
     if method != "lsh":
         raise ValueError(f"unknown method {method}")
     return search_lsh(lsh_index(rows, tables, bits, "v", "id"), asked, k, "id", "v", fragment_bytes, tables, bits, probes)
@@ -189,9 +255,9 @@ _FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("i
 
 
 def _search(rows: DataFrame, asked: DataFrame, k: int, fragment_bytes: int, copies: int) -> DataFrame:
-    """Rows (cell, id, v) scored for the queries (cell, id, v) of their cell; a pair meets in at most ``copies`` cells."""
-    spark = rows.sparkSession
-    tiles, partitions = _tiles(spark, rows, asked, fragment_bytes)
+    """Rows (cell, id, v) scored for the queries (cell, id, v) of their cell, or all for all without a ``cell``; a pair meets
+    in at most ``copies`` cells."""
+    plan, partitions = _tiles(rows, asked, fragment_bytes)
     at = (F.col("first") + F.col("a") * F.col("down") + F.col("r")).alias("tile")
 
     def block(count: str, salt: str):
@@ -200,10 +266,13 @@ def _search(rows: DataFrame, asked: DataFrame, k: int, fragment_bytes: int, copi
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    left = asked.join(tiles, "cell").withColumn("a", block("across", "query")).withColumn("r", every("down"))
-    right = rows.join(tiles, "cell").withColumn("r", block("down", "row")).withColumn("a", every("across"))
-    both = left.select(at, F.lit(0).alias("kind"), "id", F.col("v").cast("array<double>").alias("v")).unionByName(
-        right.select(at, F.lit(1).alias("kind"), "id", F.col("v").cast("array<double>").alias("v")))
+    # vectors travel in single precision if both sides have it
+    kinds = {df.schema["v"].dataType.simpleString() for df in (rows, asked)}
+    vector = F.col("v").cast("array<float>" if kinds == {"array<float>"} else "array<double>").alias("v")
+    left = _placed(asked, plan).withColumn("a", block("across", "query")).withColumn("r", every("down"))
+    right = _placed(rows, plan).withColumn("r", block("down", "row")).withColumn("a", every("across"))
+    both = left.select(at, F.lit(0).alias("kind"), "id", vector).unionByName(
+        right.select(at, F.lit(1).alias("kind"), "id", vector))
     dealt = both.repartitionById(partitions, F.pmod("tile", F.lit(partitions)).cast("int")).sortWithinPartitions(
         "tile", "kind")
     partial = dealt.mapInPandas(_scorer(k), _FOUND)
@@ -215,50 +284,63 @@ def _search(rows: DataFrame, asked: DataFrame, k: int, fragment_bytes: int, copi
     return ranked.select("query_id", "id", "score", "rank")
 
 
-def _tiles(spark: SparkSession, rows: DataFrame, asked: DataFrame, fragment_bytes: int) -> tuple[DataFrame, int]:
-    """(cell, first, across, down): the blocks of queries and of rows of each cell, and the number of tasks.
+def _placed(df: DataFrame, plan: list[tuple]) -> DataFrame:
+    """Rows with the tiles of their cell; rows without a ``cell`` are all in the only one."""
+    names = ["first", "across", "down"]
+    if "cell" not in df.columns:
+        places = {name: F.lit(place).cast("long") for name, place in zip(names, plan[0][1:] if plan else (0, 0, 0))}
+        return (df if plan else df.limit(0)).withColumns(places)
+    # one row per cell that has both; there are at most MOST_CELLS
+    tiles = df.sparkSession.createDataFrame(plan, "cell int, first long, across long, down long")
+    return df.join(F.broadcast(tiles), "cell")
 
-    One row per cell that has both; there are at most ``MOST_CELLS``, so the table is broadcast.
-    """
-    held = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"))
-    counts = held.join(asked.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cell").collect()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def _tiles(rows: DataFrame, asked: DataFrame, fragment_bytes: int) -> tuple[list[tuple], int]:
+    """(cell, first, across, down): the blocks of queries and of rows of each cell, and the number of tasks."""
+    spark = rows.sparkSession
+    cell = F.col("cell") if "cell" in rows.columns else F.lit(0).alias("cell")
+    held = rows.groupBy(cell).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).collect()
+    wanted = dict(map(tuple, asked.groupBy(cell).agg(F.count(F.lit(1)).alias("m")).collect()))
+    counts = [(*row, wanted[row["cell"]]) for row in held if row["cell"] in wanted]
+    # every task gives k rows for each of its queries, so there are no more of them than keep the cores busy
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                     TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     plan, first, streams = [], 0, 0
-    for cell, n, width, m in sorted(tuple(r) for r in counts):
-        size = max(1, width) * 8
-        across = -(-m // max(1, fragment_bytes // size))
+    for cell, n, width, m in sorted(counts):
+        size, share = max(1, width) * 8, -(-partitions // len(counts))
+        # rows travel once per block of queries, results once per block of rows: as many of one as of the other
+        across = max(-(-m // max(1, fragment_bytes // size)), min(math.isqrt(share), -(-m // QUERY_SLICE)))
         least = -(-n * size // ROW_BYTES)
-        down = max(least, min(-(-partitions // (len(counts) * across)), -(-n // LEAST_ROWS)))
+        down = max(least, min(-(-share // across), -(-n // LEAST_ROWS)))
         plan.append((cell, first, across, down))
         first, streams = first + across * down, streams + across * least
-    tiles = spark.createDataFrame(plan, "cell int, first long, across long, down long")
-    return F.broadcast(tiles), max(1, min(first, max(partitions, streams)))
+    return plan, max(1, min(first, max(partitions, streams)))
 
 
 def _scorer(k: int):
     """Frames arrive by tile, queries first: they are kept, the rows stream past them."""
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tile, held, queries, best = None, [], None, None
+        tile, held, found = None, [], None
         for frame in frames:
             for number, part in frame.groupby("tile", sort=True):
                 if number != tile:
-                    if best is not None:
-                        yield _rows(queries[0], best)
-                    tile, held, queries, best = number, [], None, None
+                    if found is not None:
+                        yield found.rows()
+                    tile, held, found = number, [], None
                 asked = part["kind"].to_numpy() == 0
                 if asked.any():
                     own = part[asked]
                     held.append((own["id"].to_numpy(), _matrix(own["v"])))
                 others = part[~asked]
                 if len(others) and held:
-                    if queries is None:
-                        queries = tuple(np.concatenate(c) for c in zip(*held))
+                    if found is None:
+                        found = _Tile(*(np.concatenate(c) for c in zip(*held)), k)
                     for at in range(0, len(others), ROW_SLICE):
                         rows = others.iloc[at:at + ROW_SLICE]
-                        best = _fold(best, _block_best(rows["id"].to_numpy(), _matrix(rows["v"]), queries[1], k), k)
-        if best is not None:
-            yield _rows(queries[0], best)
+                        found.add(rows["id"].to_numpy(), _matrix(rows["v"]))
+        if found is not None:
+            yield found.rows()
 
     return score
 
