@@ -1,6 +1,7 @@
 """The whole build over derived raw tables: twice, and in two loads."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +109,30 @@ def test_versions_survive_a_lost_write(spark, tmp_path):
     os.remove(f"{path}/v=4/_SUCCESS")  # a write that did not end
     assert load.read_version(spark, path).count() == 3
     assert load.write_version(spark.range(5), path).count() == 5
+
+
+def test_staging_methods_stay_small_enough_to_be_compiled(spark, small_dir):
+    from wayline.workload.views import Inputs
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("stg_flights", "fct_flights"):
+            plan = Inputs(spark, small_dir)[name]._jdf.queryExecution()
+            text = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_text_without_a_digit_is_no_number(spark):
+    from wayline.functions import casts
+    texts = [None, "", "n/a", "-", ".", "12.00", " 7 ", "1e2", "+3", "٣", "99999999999", "-0.5", "NaN", "1x"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.select("i", casts.cast_try_int(F.col("t")).alias("n"), casts.cast_numeric_flag(F.col("t")).alias("f"),
+                      casts.cast_try_number(F.col("t"), 14, 2).alias("d"))
+    want = rows.select("i", F.round(F.col("t").try_cast("decimal(10,2)"), 0).try_cast("int").alias("n"),
+                       F.coalesce(F.col("t").try_cast("decimal(10,2)") == 1, F.lit(False)).alias("f"),
+                       F.col("t").try_cast("decimal(14,2)").alias("d"))
+    assert got.orderBy("i").collect() == want.orderBy("i").collect()
+    assert "RLIKE" in got._jdf.queryExecution().toString().upper()
