@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import wayline.workload.queries  # noqa: F401 - fills the registry
+from wayline.plans import quality
 from wayline.sources import parts, sinks
+from wayline.workload import q_writes
 from wayline.workload.registry import QUERIES
+from wayline.workload.views import Inputs
 
 ROWS = "k int, d date, v int, ts timestamp"
 
@@ -92,6 +95,27 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path):
     assert spark.conf.get("spark.sql.parquet.compression.codec") == "snappy"
 
 
+def test_models_in_parts_equal_whole_ones(spark, small_dir, monkeypatch):
+    t = Inputs(spark, small_dir)
+    assert t.parts("stg_flights").count == 1
+    whole = {n: sorted(map(repr, t[n].collect())) for n in ("stg_reviews", "fct_flights")}
+    counts = sorted(map(tuple, QUERIES["check_while_writing"](spark, small_dir).collect()))
+    monkeypatch.setattr(parts, "PART_BYTES", 100_000)
+    for name, rows in whole.items():
+        made = t.parts(name)
+        got = [list(map(repr, part.collect())) for part in made.frames]
+        assert made.count > 1 and len(got) > 1
+        assert sorted(sum(got, [])) == rows
+    written = []
+    monkeypatch.setattr(q_writes, "append_part", lambda df, path: written.append(path) or parts.append_part(df, path))
+    assert sorted(map(tuple, QUERIES["check_while_writing"](spark, small_dir).collect())) == counts
+    assert len(written) > 3 and len(set(written)) == 3
+    rules = {r for n in ("stg_reviews", "stg_stay_bookings", "stg_flights") for r in quality.rule_counts(n)}
+    assert {r for r, _ in counts} == rules
+    stored_rows = spark.read.parquet(next(p for p in written if "stg_reviews" in p))
+    assert sorted(map(repr, stored_rows.collect())) == whole["stg_reviews"]
+
+
 def test_the_bucketed_layout_in_parts_gives_the_mart(spark, small_dir, monkeypatch):
     whole = sorted(map(repr, QUERIES["mart_traveler_disruption"](spark, small_dir).collect()))
     monkeypatch.setattr(parts, "PART_BYTES", 100_000)
